@@ -1,0 +1 @@
+"""No streaming operator is in the inventory (no watermark, window, state or late data anywhere)."""
