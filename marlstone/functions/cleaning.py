@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marlstone.functions import fixed
 
 BLANKS = " \t\n\r\x0b\x0c"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
-
-# The closed list of date shapes: (shape of the text, formats tried in order). Month-first
-# is tried before day-first. A partial date has no shape here and becomes NULL.
-DATE_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", ("y-M-d",)),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ("y/M/d",)),
-    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", ("y.M.d",)),
-    (r"^\d{8}$", ("yyyyMMdd",)),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ("M/d/y", "d/M/y")),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ("M-d-y", "d-M-y")),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", ("M.d.y", "d.M.y")),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", ("M/d/yy", "d/M/yy")),
-    (r"^\d{1,2}-\d{1,2}-\d{2}$", ("M-d-yy", "d-M-yy")),
-    (r"^\d{1,2}[ -][a-z]{3}[ -]\d{4}$", ("d MMM y",)),
-    (r"^\d{1,2}[ -][a-z]{4,9}[ -]\d{4}$", ("d MMMM y",)),
-    (r"^[a-z]{3} \d{1,2},? \d{4}$", ("MMM d y",)),
-    (r"^[a-z]{4,9} \d{1,2},? \d{4}$", ("MMMM d y",)),
+_NUMBER = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|[+-]?inf(?:inity)?)$"
+
+# The closed list of date formats, separators made "-". Month-first is tried before day-first.
+# A partial date fits none of them and becomes NULL.
+DATE_FORMATS = (
+    "yyyy-M-d", "M-d-yyyy", "d-M-yyyy", "M-d-yy", "d-M-yy", "yyyyMMdd",
+    "d-MMM-yyyy", "d-MMMM-yyyy", "MMM-d-yyyy", "MMMM-d-yyyy",
 )
 
 
@@ -42,14 +29,14 @@ def strip(c: Column | str) -> Column:
 
 def is_missing_like(c: Column | str) -> Column:
     """True for NULL and for the missing markers, ignoring case and outer blanks."""
-    c = _col(c).cast("string")
-    return c.isNull() | F.lower(strip(c)).isin(*fixed.MISSING_MARKERS)
+    low = F.lower(strip(_col(c).cast("string")))
+    return F.coalesce(low.isin(*fixed.MISSING_MARKERS), F.lit(True))
 
 
 def null_markers(c: Column | str) -> Column:
     """Trimmed text, with missing markers as NULL."""
-    c = _col(c).cast("string")
-    return F.when(~is_missing_like(c), strip(c))
+    text = strip(_col(c).cast("string"))
+    return F.when(~F.lower(text).isin(*fixed.MISSING_MARKERS), text)
 
 
 def collapse_space(c: Column | str) -> Column:
@@ -58,55 +45,60 @@ def collapse_space(c: Column | str) -> Column:
 
 
 def lookup(c: Column, mapping: dict) -> Column:
-    """Value of ``mapping`` for ``c``, else NULL, as one CASE expression inside codegen."""
-    branches = [(c == F.lit(key), F.lit(value)) for key, value in mapping.items()]
-    first, *rest = branches
-    return reduce(lambda acc, b: acc.when(*b), rest, F.when(*first))
+    """Value of ``mapping`` for ``c``, else NULL. The map is a literal, ``c`` is evaluated once."""
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])[c]
+
+
+# Expressions below name their input as rarely as they can: a repeated input is repeated work in
+# generated code. No marker is a key of a map or looks like a number or a date, so the markers
+# need no test of their own there.
 
 
 def map_category(c: Column | str, mapping: dict) -> Column:
-    """Canonical category of a dirty label; unknown labels become NULL."""
-    return lookup(collapse_space(null_markers(c)), mapping)
+    """Canonical category of a dirty label; unknown labels and markers become NULL."""
+    return lookup(collapse_space(c), mapping)
 
 
 def map_condition(c: Column | str, weak_allowed: bool = False) -> Column:
     """Canonical condition; runs of ``_`` and ``-`` count as a space."""
-    text = F.regexp_replace(null_markers(c), "[_-]+", " ")
     vocabulary = fixed.BATTERY_CONDITIONS if weak_allowed else fixed.WEAR_CONDITIONS
-    return lookup(collapse_space(text), vocabulary)
+    return lookup(collapse_space(F.regexp_replace(_col(c), "[_-]+", " ")), vocabulary)
 
 
 def map_target(c: Column | str) -> Column:
     """1.0, 0.0 or NULL."""
-    return lookup(F.lower(null_markers(c)), fixed.TARGET_LABELS)
+    return lookup(lower_text(c), fixed.TARGET_LABELS)
 
 
-def parse_number(c: Column | str, litres_to_cc: bool = False, thousands: bool = False) -> Column:
-    """Number from mixed text: words, ``$``, separators and units; NULL when nothing fits.
+def lower_text(c: Column | str) -> Column:
+    return F.lower(strip(_col(c).cast("string")))
 
-    One comma between digits is a decimal comma, also in ``12,345``; ``thousands=True`` reads
-    groups of three as thousands instead. ``litres_to_cc`` scales values of at most 10 that
-    carry a litre unit.
-    """
-    text = F.lower(null_markers(c))
-    decimal_comma = text.rlike(r"^-?\d+,\d+$")
-    if thousands:
-        decimal_comma = decimal_comma & ~text.rlike(r"^-?\d{1,3}(,\d{3})+$")
-    text = F.when(decimal_comma, F.replace(text, F.lit(","), F.lit("."))).otherwise(text)
-    in_litres = text.rlike(r"(^|[^a-z])[0-9.]+\s*l\b") | text.endswith("l")
 
+def number_of(low: Column, litres_to_cc: bool = False, thousands: bool = False) -> Column:
+    """:func:`parse_number` of text that is already trimmed and in lower case."""
+    digits = r"^(-?(?!\d{1,3}(?:,\d{3})+$)\d+),(\d+)$" if thousands else r"^(-?\d+),(\d+)$"
+    text = F.regexp_replace(low, digits, "$1.$2")
     bare = F.translate(text, "$,", "")
     for unit in ("km/l", "km", "cc", "l"):
         bare = F.replace(bare, F.lit(unit), F.lit(""))
     bare = F.regexp_replace(strip(bare), r"(?<=\d)_(?=\d)", "")
-    number = F.when(bare.rlike(_NUMBER), bare.try_cast("double")).when(
-        bare.rlike(r"^[+-]?inf(inity)?$"),
-        F.when(bare.startswith("-"), float("-inf")).otherwise(float("inf")),
-    )
+    number = F.regexp_extract(bare, _NUMBER, 1).try_cast("double")
     if litres_to_cc:
-        number = F.when(in_litres & (F.abs(number) <= 10), number * 1000.0).otherwise(number)
-    words = {word: float(value) for word, value in fixed.NUMBER_WORDS.items()}
-    return F.coalesce(lookup(F.lower(null_markers(c)), words), number)
+        in_litres = text.rlike(r"(^|[^a-z])[0-9.]+\s*l\b|l$")
+        number = number * F.when(in_litres & (F.abs(number) <= 10), 1000.0).otherwise(1.0)
+    # A marker wins over the number word of the same spelling.
+    words = {w: float(v) for w, v in fixed.NUMBER_WORDS.items() if w not in fixed.MISSING_MARKERS}
+    return F.coalesce(lookup(low, words), number)
+
+
+def parse_number(c: Column | str, litres_to_cc: bool = False, thousands: bool = False) -> Column:
+    """Number from mixed text: words, ``$``, separators and units; NULL when nothing fits.
+
+    One comma between digits is a decimal comma, also in ``12,345``; ``thousands=True`` reads
+    groups of three as thousands instead. ``litres_to_cc`` scales values of at most 10 that
+    carry a litre unit.
+    """
+    return number_of(lower_text(c), litres_to_cc, thousands)
 
 
 def within(c: Column | str, low: float, high: float) -> Column:
@@ -115,18 +107,26 @@ def within(c: Column | str, low: float, high: float) -> Column:
     return F.when(c.between(low, high), c)
 
 
-def parse_date(c: Column | str) -> Column:
-    """Date from mixed text. The shape of the text picks at most two formats to try."""
-    text = F.lower(null_markers(c))
-    text = F.regexp_replace(text, r"[t ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?z?$", "")
-    spaced = F.initcap(F.regexp_replace(F.regexp_replace(text, ",", ""), r"(?<=[a-z])-|-(?=[a-z])", " "))
-    parsed = None
-    for shape, formats in DATE_SHAPES:
-        value = F.coalesce(*[F.try_to_date(spaced if "M y" in f or "d y" in f else text, f) for f in formats])
-        parsed = F.when(text.rlike(shape), value) if parsed is None else parsed.when(text.rlike(shape), value)
+def date_text(c: Column | str) -> Column:
+    """Date text without a time of day, every separator a ``-``."""
+    text = F.regexp_replace(lower_text(c), r"[t ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?z?$", "")
+    return F.regexp_replace(text, r"[/. ,-]+", "-")
+
+
+def date_of(text: Column) -> Column:
+    """Date of a text made by :func:`date_text`, any year."""
+    return F.coalesce(*[F.try_to_date(text, f) for f in DATE_FORMATS])
+
+
+def within_years(parsed: Column) -> Column:
     return F.when(F.year(parsed).between(*fixed.YEAR_RANGE), parsed)
 
 
+def parse_date(c: Column | str) -> Column:
+    """Date from mixed text, NULL when no format fits or the year is out of range."""
+    return within_years(date_of(date_text(c)))
+
+
 def drop_expiry_before_service(expiry: Column | str, service: Column | str) -> Column:
     """The expiry date, or NULL when it lies before the last service."""
     expiry, service = _col(expiry), _col(service)
