@@ -161,64 +161,64 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of numeric columns, NULL and NaN left out.
 
-    Each wanted rank is narrowed by histograms: one aggregate per round returns at most ``bins``
-    counts per open rank, and the range shrinks to the bin that holds the rank. A rank is settled
-    once its bin holds one distinct value or at most ``settle`` rows, which are then read in
-    order. The driver sees bounded results only; no task holds all values of a column.
+    Each wanted rank is narrowed by histograms. A round is one aggregate over the table for all
+    columns and open ranks; it returns at most ``bins`` counts per open range, and a range then
+    shrinks to the bin that holds the rank. A range of at most ``settle`` rows is counted by
+    value, which settles its ranks. The driver sees bounded results only, and no task holds all
+    values of a column.
     """
-    stats = df.agg(
-        *[
-            F.struct(
-                F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias("n"),
-                F.min(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias("low"),
-                F.max(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias("high"),
-            ).alias(c)
-            for c in columns
-        ]
+    number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    values = df.select(*[number[c].alias(c) for c in columns])
+    stats = values.agg(
+        *[F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
     ).first()
-    return {c: _column_quantiles(df, c, stats[c], probs, bins, settle) for c in columns}
-
-
-def _column_quantiles(df, column, stats, probs, bins, settle) -> list[float | None]:
-    n = stats["n"]
-    if n == 0:
-        return [None for _ in probs]
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    wanted = sorted({k for p in probs for k in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))})
-    # rank -> (low, high, rows below low); low and high are values that occur.
-    open_ranks = {k: (stats["low"], stats["high"], 0, n) for k in wanted}
-    found: dict[int, float] = {}
-    while open_ranks:
-        for k, (low, high, _, _) in list(open_ranks.items()):
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank) -> (low, high, rows below low, rows inside); low and high occur in the column.
+    open_ranks: dict[tuple[str, int], tuple[float, float, int, int]] = {}
+    for c in columns:
+        n = stats[c]["n"]
+        for k in {k for p in probs for k in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))} if n else ():
+            open_ranks[c, k] = (stats[c]["low"], stats[c]["high"], 0, n)
+    while True:
+        for key, (low, high, _, _) in list(open_ranks.items()):
             if low == high:
-                found[k] = low
-                del open_ranks[k]
-        small = {k: s for k, s in open_ranks.items() if s[3] <= settle}
-        for low, high, below, size in set(small.values()):
-            rows = values.filter(F.col("v").between(low, high)).orderBy("v").limit(size).collect()
-            for k, s in small.items():
-                if s == (low, high, below, size):
-                    found[k] = rows[k - below]["v"]
-                    del open_ranks[k]
-        for low, high, below, size in set(open_ranks.values()):
-            position = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
-            counted = (
-                values.filter(F.col("v").between(low, high))
-                .groupBy(position.alias("b"))
-                .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-                .orderBy("b")
-                .collect()
-            )
+                found[key] = low
+                del open_ranks[key]
+        if not open_ranks:
+            break
+        ranges = sorted({(c, *state) for (c, _), state in open_ranks.items()})
+        counted: dict[int, list] = {i: [] for i in range(len(ranges))}
+        for row in _count_ranges(values, ranges, bins, settle).collect():
+            counted[row["r"]].append((row["low"], row["high"], row["n"]))
+        for i, (c, low, high, below, inside) in enumerate(ranges):
             start = below
-            for row in counted:
-                for k, s in list(open_ranks.items()):
-                    if s == (low, high, below, size) and start <= k < start + row["n"]:
-                        open_ranks[k] = (row["low"], row["high"], start, row["n"])
-                start += row["n"]
-    out = []
-    for p in probs:
-        position = p * (n - 1)
-        k = int(position)
-        low, high = found[k], found[min(k + 1, n - 1)]
-        out.append(low + (high - low) * (position - k))
-    return out
+            for bin_low, bin_high, n in sorted(counted[i]):
+                for (name, k), state in list(open_ranks.items()):
+                    if name == c and state == (low, high, below, inside) and start <= k < start + n:
+                        open_ranks[name, k] = (bin_low, bin_high, start, n)
+                start += n
+    return {c: [_interpolate(found, c, stats[c]["n"], p) for p in probs] for c in columns}
+
+
+def _count_ranges(values: DataFrame, ranges: list[tuple], bins: int, settle: int) -> DataFrame:
+    """Counts per range and bin (small ranges: per value): (r, low, high, n)."""
+    pieces = []
+    for i, (c, low, high, _, inside) in enumerate(ranges):
+        v = F.col(c)
+        place = v if inside <= settle else F.least(
+            F.floor((v - low) / (high - low) * bins), F.lit(bins - 1)
+        ).cast("double")
+        pieces.append(
+            F.when(v.between(low, high), F.struct(F.lit(i).alias("r"), place.alias("b"), v.alias("v")))
+        )
+    hits = values.select(F.explode(F.array(*pieces)).alias("h")).filter("h IS NOT NULL").select("h.*")
+    return hits.groupBy("r", "b").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))
+
+
+def _interpolate(found: dict, column: str, n: int, p: float) -> float | None:
+    if not n:
+        return None
+    position = p * (n - 1)
+    k = int(position)
+    low, high = found[column, k], found[column, min(k + 1, n - 1)]
+    return low + (high - low) * (position - k)
