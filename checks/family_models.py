@@ -145,7 +145,7 @@ QUERIES = {
     "m20_tuned_summary": lambda s, d: models.tuned_summary(_all_metrics(s, d)),
     "m22_l2_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l2", (0.05, 1.0)),
     "m23_l1_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l1", (0.01, 0.1)),
-    "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, "leakage_aware_lr")], (10, 20))),
+    "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, "leakage_aware_lr")], (15,))),
     "m25_grid_search": lambda s, d: models.grid_search(_bundle(s, d, "leakage_aware_lr"), "vid", (1.0,), ("l1", "l2"), ("balanced",), folds=2),
     "m26_priority_table": _priority,
     "m28_m29_odds_ratios": lambda s, d: inference.odds_ratios(s, _logit(s, d)),

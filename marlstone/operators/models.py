@@ -26,6 +26,7 @@ from marlstone.functions import features as X
 from marlstone.functions import fixed
 from marlstone.operators import explore, features, metrics, split
 from marlstone.operators.scale import broadcast_within
+from marlstone.session import settle
 
 # Feature lists of the accident models.
 SEVERITY_CATEGORICAL = ("visibility", "weather", "traffic_density", "road_type", "hour_bin", "cause")
@@ -176,8 +177,8 @@ def risk_pipeline(
     categorical: Sequence[str] = RISK_CATEGORICAL, numeric: Sequence[str] = RISK_NUMERIC,
     iterations: int = 100, depth: int = 8, step: float = 0.1, seed: int = 42, target: str = "risk_score",
 ) -> Pipeline:
-    """Gradient-boosted trees. Each iteration grows the lineage, so set a checkpoint folder on
-    the session (see ``marlstone.session.checkpoint_dir``); the trees then checkpoint every tenth."""
+    """Gradient-boosted trees. Each iteration grows the lineage, so set a checkpoint folder
+    on the session (``spark.checkpoint.dir``); the trees then checkpoint every tenth."""
     boosted = GBTRegressor(
         labelCol=target, featuresCol="features", maxIter=iterations, maxDepth=depth, stepSize=step, seed=seed,
         checkpointInterval=10,
@@ -275,19 +276,27 @@ class Bundle:
 def prepare_bundle(
     df: DataFrame, name: str, key: str, target: str = "need_maintenance", seed: int | str = 42, approximate: bool = False
 ) -> Bundle:
-    """Split, fit the preparation on the training rows only, and transform all rows."""
+    """Split, fit the preparation on the training rows only, and transform all rows.
+
+    The split rows and the prepared rows are settled, as every later fit and metric reads them;
+    release them with :func:`release` when the bundle is no longer used.
+    """
     numeric, categorical = features.bundles()[name]
-    marked = split.stratified_split(features.bundle(df, name, (key,)), key, target, seed=seed)
+    marked = settle(split.stratified_split(features.bundle(df, name, (key,)), key, target, seed=seed))
     train = marked.filter("data_split = 'train'")
     fitted = preprocessor(train, numeric, categorical, approximate).fit(train)
     data = fitted.transform(marked).select(
         key, "data_split", F.col(target).cast("double").alias("y"), "features"
     )
     weights = split.class_weights(data.filter("data_split = 'train'"), "y").select("y", F.col("balanced_weight").alias("weight"))
-    data = data.join(broadcast_within(weights), "y", "left")
+    data = settle(data.join(broadcast_within(weights), "y", "left"))
     return Bundle(name, numeric, categorical, data, fitted, feature_names(data, "features", numeric))
 
 
+def release(bundle: Bundle) -> None:
+    bundle.data.unpersist()
+
+
 def logistic(
     train: DataFrame, c: float = 1.0, penalty: str = "l2", balanced: bool = True, features_col: str = "features",
     iterations: int = 300,
@@ -321,7 +330,8 @@ def coefficient_table(df: DataFrame, names: Sequence[str], coefficients) -> Data
 def evaluate_bundle(bundle: Bundle) -> dict[str, object]:
     """Fit on train, tune the threshold on validation, measure both thresholds on both parts."""
     model = logistic(bundle.part("train"))
-    validation, test = scored(model, bundle.part("validation")), scored(model, bundle.part("test"))
+    rows = settle(scored(model, bundle.data.filter("data_split <> 'train'")).select("data_split", "y", "p"))
+    validation, test = rows.filter("data_split = 'validation'"), rows.filter("data_split = 'test'")
     table = metrics.threshold_table(validation)
     tuned = metrics.best_threshold(table).first()["threshold"]
     slices = [

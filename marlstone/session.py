@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffles, splits skewed join partitions and turns joins into
 # broadcasts from measured sizes. No fixed shuffle width is set here: on a cluster the
@@ -33,13 +31,17 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """The shared folder for cut lineages: the cluster's own setting, else ``fallback``.
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` computed once for the many passes of a model or a sweep.
 
-    ``fallback`` is only applied when the session names no folder (local tests).
+    Where the cluster names a shared folder in ``spark.checkpoint.dir`` the rows are checkpointed
+    there, which also cuts the lineage and survives lost executors. Without one (local runs) they
+    are persisted and can be recomputed.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback or os.environ.get("MARLSTONE_CHECKPOINT_DIR")
-    if target and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(target)
-    return target
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
