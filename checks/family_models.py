@@ -93,9 +93,7 @@ def texts(s, d):
 
 
 def _tfidf(s, d):
-    docs = texts(s, d)
-    counts = textclass.term_counts(docs, "doc_id", "text")
-    return textclass.tfidf(counts, textclass.idf_table(counts, docs), "doc_id")
+    return textclass.weighted_terms(texts(s, d), "doc_id", "text")
 
 
 def _encoded(s, d):

@@ -89,6 +89,7 @@ def build_index(
     if body is None:
         body = text.searchable_text(F.col("title"), F.col("abstract"), F.col("authors"), F.col("year"))
     terms = document_terms(docs, body, key, stemming)
+    # Left lazy: a query's term filter then reaches the token rows. Use save_index for many queries.
     rows, lengths = postings(terms), document_lengths(terms)
     return Index(docs, rows, lengths, term_statistics(rows, lengths), stemming)
 
