@@ -92,7 +92,7 @@ def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header, written by the executors. ``single_file`` is for small result tables."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -112,3 +112,16 @@ def test_files(spark, tmp_path):
     back = files.read_records(spark, f"{base}/j", df.schema)
     files.replace_records(spark, back.filter("n = 1"), f"{base}/j")
     assert files.read_records(spark, f"{base}/j", df.schema).count() == 1
+
+
+def test_publication_job(spark, tmp_path):
+    from marlstone.plans import publications as job
+
+    rows = [(5, "https://portal.example.org/en/publications/a/", PAGE), (6, "https://portal.example.org/en/publications/b/", "<p>no title</p>")]
+    fetched = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    old = job.extract(fetched, "OLD").withColumn("year", F.lit("1990"))
+    merged = job.update(old, fetched, "CSM")
+    (row,) = merged.collect()
+    assert row["organisations"] == ["CSM", "OLD"] and row["year"] == "2019"
+    index = job.reindex(merged.withColumn("seq", F.lit(1)), str(tmp_path / "ix"))
+    assert index.doc_stats.first()["dl"] > 0
