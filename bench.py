@@ -15,8 +15,8 @@ HEADLINE = (
     "ag16_missing_counts", "ag29_correlation", "ag30_histogram", "ag31_density", "ag33_describe_exact",
     "m3_stratified_split", "m18_m19_binary_metrics", "j11_m17_threshold_table", "j12_ag25_risk_band_summary",
     "ag28_rk2_term_statistics", "j6_sl1_rk4_search", "rk4_search_many", "j8_merge", "x8_slug", "hx3_hx5_publications",
-    "m31_tfidf", "m32_m33_naive_bayes", "m36_gram_matrix", "m39_cooks_distance", "wn7_autocorrelation",
-    "m7_forest_metrics", "m13_dx9_cluster_sweep",
+    "m31_tfidf", "m36_gram_matrix", "m39_cooks_distance", "wn7_autocorrelation",
+    "m7_forest_metrics",
 )
 
 
