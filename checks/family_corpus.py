@@ -68,12 +68,12 @@ QUERIES = {
     ),
     "x9_repair_count": lambda s, d: corpus.repair_count(corpus.repair_urls(publications(s, d), PREFIX, 50)),
     "j8_merge": lambda s, d: _flat(corpus.merge(*old_and_new(s, d))),
-    "j8_merge_fixed_tag": lambda s, d: _flat(corpus.merge(*old_and_new(s, d), fixed_tag="CSM")).select("publication_url", "organisations"),
+    "j8_merge_fixed_tag": lambda s, d: _flat(corpus.merge(*old_and_new(s, d), fixed_tag="ORG")).select("publication_url", "organisations"),
     "j9_replace_records": lambda s, d: corpus.replace_records(*old_and_new(s, d)).select("publication_url", "seq", "title", "year"),
     "wn6_last_record": lambda s, d: corpus.last_record(old_and_new(s, d)[1]).select("publication_url", "seq", "year"),
     "st4_union_distinct": lambda s, d: corpus.union_distinct(*[p.select("publication_url") for p in old_and_new(s, d)]),
     "st5_array_union": lambda s, d: publications(s, d).select(
-        "seq", F.array_join(F.array_sort(F.array_union("organisations", F.array(F.lit("en"), F.lit("CSM")))), ",").alias("tags")
+        "seq", F.array_join(F.array_sort(F.array_union("organisations", F.array(F.lit("en"), F.lit("ORG")))), ",").alias("tags")
     ),
     "st6_distinct_people": lambda s, d: table(s, d, "documents").select("doc_id", pages.distinct_people(
         F.array(*[F.struct(F.col(c).alias("name"), F.lit(u).alias("url")) for c, u in (("lang", "a"), ("source", "b"), ("lang", "c"))])
@@ -110,7 +110,7 @@ QUERIES = {
     "hx7_pages_to_corpus": lambda s, d: corpus.merge(
         publications(s, d).select("publication_url", "seq", "title", "year", "abstract", "organisations"),
         corpus.titled(pages.publications(facts(s, d)).select(
-            "publication_url", F.col("page_id").alias("seq"), "title", "year", "abstract", F.array(F.lit("CSM")).alias("organisations")
+            "publication_url", F.col("page_id").alias("seq"), "title", "year", "abstract", F.array(F.lit("ORG")).alias("organisations")
         )),
     ).select("publication_url", "title", "year", F.array_join("organisations", ",").alias("organisations")),
 }
@@ -170,7 +170,7 @@ ORACLES = {
     ),
     "j8_merge_fixed_tag": _p(
         "SELECT coalesce(o.publication_url, l.publication_url) AS publication_url, CASE WHEN l.publication_url IS NULL THEN o.organisation "
-        "WHEN o.publication_url IS NULL THEN 'CSM' ELSE array_to_string(list_sort(['CSM', o.organisation]), ',') END AS organisations FROM old o FULL JOIN latest l ON o.publication_url = l.publication_url", _SIDES
+        "WHEN o.publication_url IS NULL THEN 'ORG' ELSE array_to_string(list_sort(['ORG', o.organisation]), ',') END AS organisations FROM old o FULL JOIN latest l ON o.publication_url = l.publication_url", _SIDES
     ),
     "j9_replace_records": _p(
         "SELECT publication_url, seq, title, year FROM (SELECT *, row_number() OVER (PARTITION BY publication_url ORDER BY side DESC, seq DESC) AS rn FROM "
@@ -179,7 +179,7 @@ ORACLES = {
     "wn6_last_record": _p("SELECT publication_url, max(seq) AS seq, arg_max(coalesce(year, '-'), seq) AS year FROM fresh GROUP BY 1", _SIDES).replace(
         "arg_max(coalesce(year, '-'), seq)", "nullif(arg_max(coalesce(year, '-'), seq), '-')"),
     "st4_union_distinct": _p("SELECT publication_url FROM old UNION SELECT publication_url FROM fresh", _SIDES),
-    "st5_array_union": _p("SELECT seq, array_to_string(list_sort(list_distinct([organisation, 'en', 'CSM'])), ',') AS tags FROM publications"),
+    "st5_array_union": _p("SELECT seq, array_to_string(list_sort(list_distinct([organisation, 'en', 'ORG'])), ',') AS tags FROM publications"),
     "st6_distinct_people": "SELECT doc_id, concat(lang, 'a', ',', source, 'b') AS people FROM documents",
     "ag1_year_counts": _p("SELECT year, count(*) AS count FROM publications GROUP BY 1"),
     "j10_year_gaps": _p(

@@ -54,8 +54,8 @@ def test_merge_rules(spark):
     assert got["u2"]["organisations"] == ["z", "a"]
     again = corpus.merge(corpus.merge(old, new).withColumn("seq", F.lit(1).cast("bigint")).select(*old.columns), new)
     assert {r["publication_url"]: r.asDict() for r in again.collect()} == {k: r.asDict() for k, r in got.items()}
-    tagged = {r["publication_url"]: r["organisations"] for r in corpus.merge(old, new, fixed_tag="CSM").collect()}
-    assert tagged["u1"] == ["CSM", "b"] and tagged["u3"] == ["CSM"]
+    tagged = {r["publication_url"]: r["organisations"] for r in corpus.merge(old, new, fixed_tag="ORG").collect()}
+    assert tagged["u1"] == ["ORG", "b"] and tagged["u3"] == ["ORG"]
 
 
 def test_slugs_and_links(spark):
@@ -120,8 +120,8 @@ def test_publication_job(spark, tmp_path):
     rows = [(5, "https://portal.example.org/en/publications/a/", PAGE), (6, "https://portal.example.org/en/publications/b/", "<p>no title</p>")]
     fetched = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     old = job.extract(fetched, "OLD").withColumn("year", F.lit("1990"))
-    merged = job.update(old, fetched, "CSM")
+    merged = job.update(old, fetched, "ORG")
     (row,) = merged.collect()
-    assert row["organisations"] == ["CSM", "OLD"] and row["year"] == "2019"
+    assert row["organisations"] == ["OLD", "ORG"] and row["year"] == "2019"
     index = job.reindex(merged.withColumn("seq", F.lit(1)), str(tmp_path / "ix"))
     assert index.doc_stats.first()["dl"] > 0
