@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from marlstone.llm import ngram_join
+from marlstone.llm import fm_index, ngram_join
 
 QUERIES = {
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
 }
 
 ORACLES = {
     "op3_ngram_jaccard_join": ngram_join.OP3_SQL,
+    "op7_fm_index_decontamination": fm_index.OP7_SQL,
 }
