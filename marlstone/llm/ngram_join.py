@@ -17,10 +17,8 @@ from marlstone.llm.texts import mix, shingle_sets, slices
 #: Rows of a matrix block, and columns multiplied at once.
 BLOCK_ROWS = 256
 BLOCK_COLUMNS = 2048
-#: At most so many frequent n-grams are told to all tasks. They only order the columns: results do not depend on them.
-FREQUENT = 1 << 18
-#: N-grams of so many are counted at once within a task.
-COUNTED = 4 << 20
+#: A row must share this part of its n-grams, found among its smallest hashes, to be looked at further.
+FIRST_LOOK = 0.06
 #: Smallest share of overlap, in hundredths.
 SIMILARITY = 75
 
@@ -36,9 +34,11 @@ def jaccard_links(
 
     1. Rows with equal sets form one matrix row (its 64-bit set hash is its number), so exact copies
        are never paired.
-    2. Each matrix row keeps the columns that its size derives: of n n-grams, any
-       ``n - ceil(similarity * n) + 1`` must meet a partner's. They are taken in one global order,
-       frequent n-grams last. Rows that share such a column fall into one diagonal block of the
+    2. Of n n-grams a row may lack at most ``n - ceil(similarity * n)`` in any partner. So among its
+       ``that + k`` smallest hashes at least k occur in other rows, with k = ``FIRST_LOOK * n``; rows that
+       fail leave. Those left are looked at with all their n-grams, counted over all rows left; rows with
+       too many n-grams of their own leave. The rest keep their rarest ``that + 1`` columns, of which
+       any partner must hold one. Rows that share such a column fall into one diagonal block of the
        product (connected components); every link lies within a block.
     3. A block is multiplied in pieces of at most ``BLOCK_ROWS`` rows, cut by size class, since sizes
        of linked rows are within the similarity of each other. Overlap counts are accumulated over
@@ -54,29 +54,38 @@ def jaccard_links(
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
 
-    marked = cut(texts.mapInArrow(_mark(size), f"key {kind}, n long, node long, gram long, times long"))
-    rows = marked.where("gram IS NULL").select("key", "n", "node")
+    context = docs.sparkSession.sparkContext
+    rows = cut(texts.mapInArrow(_numbered(size), f"key {kind}, n long, node long"))
     nodes = rows.where("n > 0").groupBy("node").agg(
         F.min("key").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n")
     )
-    frequent = marked.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("times"))
-    frequent = frequent.where("times > 2").orderBy(F.desc("times"), "gram").limit(FREQUENT).toPandas()
-    order = np.argsort(frequent["gram"].to_numpy(np.int64).view(np.uint64))
-    hot = (
-        frequent["gram"].to_numpy(np.int64).view(np.uint64)[order],
-        np.arange(len(order), 0, -1)[order],
+    lacking = F.col("n") - F.ceil(F.col("n") * similarity / 100).cast("long")
+
+    met = Window.partitionBy("gram")
+    shared = texts.select("text").mapInArrow(_first_look(size, similarity), "gram long, node long, held long")
+    shared = shared.select("node", "held", (
+        (F.min("node").over(met) < F.max("node").over(met)) | (F.max("held").over(met) < 0)
+    ).cast("long").alias("other"))
+    shared = shared.where("node IS NOT NULL AND (other > 0 OR held > 0)").groupBy("node").agg(
+        F.sum(F.col("other") + F.greatest("held", F.lit(0))).alias("found"), F.max("held")
     )
-    hot = docs.sparkSession.sparkContext.broadcast(hot)
-
-    shared = texts.select("text").mapInArrow(
-        _columns(size, similarity, hot), "gram long, node long, hub long"
-    )
-    hub = F.min("hub").over(Window.partitionBy("gram"))
-    near = shared.select(F.col("node").alias("a"), hub.alias("b")).where("a <> b").distinct()
+    left = shared.join(nodes, "node").where(F.col("found") >= F.greatest(F.lit(1), F.floor(F.col("n") * FIRST_LOOK)))
+    left = context.broadcast(_member_bits(left.select("node")))
+
+    full = texts.select("text").mapInArrow(_sets_of(size, left, True), "gram long, node long")
+    full = full.repartition("gram").groupBy("gram", "node").agg(F.lit(1).alias("one"))
+    full = full.select("gram", "node", F.count("*").over(met).alias("held_by"))
+    own = Window.partitionBy("node")
+    ranked = full.join(nodes, "node").select(
+        "gram", "node", lacking.alias("lacking"),
+        F.sum((F.col("held_by") == 1).cast("long")).over(own).alias("alone"),
+        F.row_number().over(own.orderBy("held_by", "gram")).alias("place"),
+    ).where("alone <= lacking AND place <= lacking + 1")
+    near = ranked.select(F.col("node").alias("a"), F.min("node").over(met).alias("b")).where("a <> b").distinct()
     blocks = cut(components(near))
 
-    wanted = docs.sparkSession.sparkContext.broadcast(_member_bits(blocks))
-    sets = texts.select("text").mapInArrow(_wanted_sets(size, wanted), "node long, grams binary")
+    wanted = context.broadcast(_member_bits(blocks))
+    sets = texts.select("text").mapInArrow(_sets_of(size, wanted, False), "node long, grams binary")
     placed = _tiles(blocks.join(nodes, "node"), similarity)
     tiles = sets.join(placed, "node").repartition("tile").sortWithinPartitions("tile", "side", "node")
     products = cut(tiles.mapInArrow(_multiply(similarity), "a long, b long, links long"))
@@ -110,94 +119,52 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarr
         yield first, last, grams, at, _node(grams, at)
 
 
-def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that several of these sets hold, with how many."""
-    grams = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-    if not len(grams):
-        return grams, np.zeros(0, np.int64)
-    starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-    times = np.diff(np.r_[starts, len(grams)])
-    return grams[starts[times > 1]], times[times > 1]
-
-
-def _mark(size: int):
-    """Per row its set's size and number; per task the n-grams that it met in several sets."""
+def _numbered(size: int):
+    """Per row the size and number of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, held, seen, count = None, [], set(), 0
-
-        def counted() -> pa.RecordBatch:
-            grams, times = _repeated(held)
-            none = pa.nulls(len(grams), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(grams), kind), none, none, pa.array(grams.view(np.int64)), pa.array(times)],
-                ["key", "n", "node", "gram", "times"],
-            )
-
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index("key"))
-            kind = keys.type
-            for first, last, grams, at, node in _sets(batch, size):
-                none = pa.nulls(last - first, pa.int64())
+            for first, last, _, at, node in _sets(batch, size):
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(first, last - first), pa.array(np.diff(at)), pa.array(node), none, none],
-                    ["key", "n", "node", "gram", "times"],
+                    [keys.slice(first, last - first), pa.array(np.diff(at)), pa.array(node)], ["key", "n", "node"]
                 )
-                for k, own in enumerate(node.tolist()):
-                    if own not in seen:
-                        seen.add(own)
-                        held.append(grams[at[k]:at[k + 1]])
-                        count += int(at[k + 1] - at[k])
-                if count > COUNTED:
-                    yield counted()
-                    held, seen, count = [], set(), 0
-        if held:
-            yield counted()
 
     return run
 
 
-def _columns(size: int, similarity: int, hot):
-    """(gram, node, hub) for the columns that each row's size derives.
+def _first_look(size: int, similarity: int):
+    """(gram, node, held) for the smallest n-grams of each row.
 
-    Rows of a slice that share a column are hung on the smallest of them under a column number of
-    their own, so that each slice sends a column once however many of its rows hold it.
+    N-grams that several rows of a slice hold are told once per slice, without a node and held -1; how
+    many of them a row has is told once per row, under an n-gram number of its own. So a slice sends
+    an n-gram once however many of its rows hold it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = hot.value
         for batch in batches:
             for _, _, grams, at, node in _sets(batch, size):
-                _, distinct = np.unique(node, return_index=True)
-                place = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
-                heat = np.where(known[place] == grams, rank[place], 0) if len(known) else np.zeros(len(grams), np.int64)
-                warm = np.zeros(len(grams) + 1, np.int64)
-                np.cumsum(heat > 0, out=warm[1:])
-                held, owner = [], []
-                for k in distinct.tolist():
-                    a, b = int(at[k]), int(at[k + 1])
-                    n = b - a
-                    take = n - -(-similarity * n // 100) + 1 if n else 0
-                    own = grams[a:b]
-                    if warm[b] > warm[a]:
-                        own = own[np.argsort(heat[a:b], kind="stable")]
-                    held.append(own[:take])
-                    owner.append(np.full(take, node[k]))
-                if not held:
+                rows = np.unique(node, return_index=True)[1]
+                n = np.diff(at)[rows]
+                rows, n = rows[n > 0], n[n > 0]
+                take = np.minimum(n, n + similarity * n // -100 + np.maximum(1, (FIRST_LOOK * n).astype(np.int64)))
+                if not len(rows):
                     continue
-                gram, own = np.concatenate(held), np.concatenate(owner)
-                order = np.lexsort((own, gram)) if len(gram) else np.zeros(0, np.int64)
+                index = np.repeat(at[rows] - np.cumsum(take) + take, take) + np.arange(int(take.sum()))
+                gram, own = grams[index], np.repeat(node[rows], take)
+                order = np.argsort(gram, kind="stable")
                 gram, own = gram[order], own[order]
-                lead = np.r_[True, gram[1:] != gram[:-1]][:len(gram)]
-                hub = own[lead][np.cumsum(lead) - 1]
-                gram = np.where(lead, gram, mix(own.view(np.uint64) + np.arange(len(own), dtype=np.uint64)))
-                extra = np.flatnonzero(~lead)
-                once = np.unique(np.stack([own[extra], hub[extra]]), axis=1, return_index=True)[1] if len(extra) else extra
-                keep = np.r_[np.flatnonzero(lead), extra[once]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[keep].view(np.int64)), pa.array(own[keep]), pa.array(hub[keep])],
-                    ["gram", "node", "hub"],
-                )
+                lead = np.r_[True, gram[1:] != gram[:-1]]
+                many = ~lead | np.r_[~lead[1:], False]
+                told = gram[many & lead]
+                name, held = np.unique(own[many], return_counts=True)
+                place = mix(name.view(np.uint64) ^ grams[index[0]] ^ np.uint64(len(index)))
+                none = pa.nulls(len(told), pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.r_[gram[~many], told, place].view(np.int64)),
+                    pa.concat_arrays([pa.array(own[~many]), none, pa.array(name)]),
+                    pa.array(np.r_[np.zeros((~many).sum(), np.int64), np.full(len(told), -1), held]),
+                ], ["gram", "node", "held"])
 
     return run
 
@@ -217,24 +184,26 @@ def _member_bits(blocks: DataFrame) -> np.ndarray:
     return out
 
 
-def _wanted_sets(size: int, wanted):
+def _sets_of(size: int, wanted, by_gram: bool):
+    """The sets of rows whose bit is set: a row per n-gram (gram, node), or one per set (node, grams)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, sent = wanted.value, set()
+        bits = wanted.value
         for batch in batches:
             for _, _, grams, at, node in _sets(batch, size):
                 place = (node.view(np.uint64) >> np.uint64(20)) % np.uint64(MEMBER_BITS)
                 inside = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
-                inside = np.flatnonzero(inside.astype(bool) & (np.diff(at) > 0))
-                inside = [k for k in inside.tolist() if node[k] not in sent]
-                fresh = {int(node[k]): k for k in inside}
-                if len(sent) < 1 << 20:
-                    sent.update(fresh)
-                if fresh:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(fresh), pa.int64()),
-                         pa.array([grams[at[k]:at[k + 1]].tobytes() for k in fresh.values()], pa.binary())],
-                        ["node", "grams"],
-                    )
+                once = np.unique(node, return_index=True)[1]
+                rows = once[inside[once].astype(bool) & (np.diff(at)[once] > 0)]
+                if not len(rows):
+                    continue
+                if by_gram:
+                    held = pa.array(np.concatenate([grams[at[k]:at[k + 1]] for k in rows]).view(np.int64))
+                    names = pa.array(np.repeat(node[rows], np.diff(at)[rows]))
+                    yield pa.RecordBatch.from_arrays([held, names], ["gram", "node"])
+                else:
+                    held = pa.array([grams[at[k]:at[k + 1]].tobytes() for k in rows], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(node[rows]), held], ["node", "grams"])
 
     return run
 
