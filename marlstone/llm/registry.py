@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from marlstone.llm import fm_index, ngram_join
+from marlstone.llm import fm_index, ngram_join, token_files
 
 QUERIES = {
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
+    "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLES = {
