@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marlstone.llm import fm_index, ngram_join, token_files
+from marlstone.llm import fm_index, language, ngram_join, token_files
 
 QUERIES = {
+    "op1_language_id": language.op1_language_id,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
     "op10_token_files": token_files.op10_token_files,
