@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from marlstone.llm import fm_index, language, ngram_join, token_files, toxicity
+from marlstone.llm import fm_index, language, ngram_join, quality, token_files, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
+    "op8_quality": quality.op8_quality,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_files": token_files.op10_token_files,
 }
