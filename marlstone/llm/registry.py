@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from marlstone.llm import fm_index, language, ngram_join, quality, token_files, toxicity
+from marlstone.llm import fm_index, language, ngram_join, placement, quality, token_files, topk, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
+    "op2_threshold_top_k": topk.op2_threshold_top_k,
+    "op4_lookup_sharding": placement.op4_lookup_sharding,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
     "op8_quality": quality.op8_quality,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_threshold_top_k": topk.OP2_SQL,
     "op3_ngram_jaccard_join": ngram_join.OP3_SQL,
     "op7_fm_index_decontamination": fm_index.OP7_SQL,
 }
