@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from marlstone.llm import fm_index, language, line_chunks, ngram_join, placement, quality, token_files, topk, toxicity
+from marlstone.llm import fm_index, language, line_chunks, mixing, ngram_join, placement, quality, token_files, topk, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op2_threshold_top_k": topk.op2_threshold_top_k,
     "op4_lookup_sharding": placement.op4_lookup_sharding,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op5_source_mix": mixing.op5_source_mix,
     "op6_line_chunks": line_chunks.op6_line_chunks,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
     "op8_quality": quality.op8_quality,
