@@ -18,7 +18,7 @@ from marlstone.llm.texts import mix, shingle_sets, slices
 BLOCK_ROWS = 256
 BLOCK_COLUMNS = 2048
 #: A row must share this part of its n-grams, found among its smallest hashes, to be looked at further.
-FIRST_LOOK = 0.06
+FIRST_LOOK = 0.1
 #: Smallest share of overlap, in hundredths.
 SIMILARITY = 75
 
@@ -49,6 +49,56 @@ def jaccard_links(
     texts, repeated keys and repeated rows are ordinary rows. A null key takes part; components of
     null keys only are null. An empty table gives an empty result; other columns are not read.
     """
+    rows, own = _linked(docs, key, text, size, similarity)
+    linked = rows.where("n > 0").join(own, "node", "left").select("key", "n", "component_id", "n_links")
+    alone = rows.where("n = 0").select("key", "n", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return linked.unionByName(alone).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", "n_links"
+    )
+
+
+def drop_linked(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, similarity: int = SIMILARITY
+) -> DataFrame:
+    """``docs`` with one row of every component of ``jaccard_links``: one of its smallest key (null only if all are).
+
+    Rows without links pass through where they are; a bitmap of the linked rows' numbers tells them
+    apart. Only rows that may be linked are joined with the components, so few texts are shuffled.
+    Rows without shingles stay. Columns and other values are as before.
+    """
+    _, own = _linked(docs, key, text, size, similarity)
+    own = cut(own.where("n_links > 0").select("node", "component_id", "keeper"))
+    bits = docs.sparkSession.sparkContext.broadcast(_member_bits(own))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = whole.select("row", F.col("row")[text].alias("text")).mapInArrow(
+        _told(size, bits), f"row {docs.schema.simpleString()}, node long, maybe boolean")
+    free = whole.where("NOT maybe").select("row")
+    tied = whole.where("maybe").join(own, "node", "left").where(
+        F.col("component_id").isNull() & F.col("keeper").isNull() | F.col("row")[key].eqNullSafe(F.col("component_id"))
+        & (F.col("node") == F.col("keeper")))
+    once = tied.where("keeper IS NOT NULL").dropDuplicates(["keeper"]).select("row")
+    return free.unionByName(tied.where("keeper IS NULL").select("row")).unionByName(once).select("row.*")
+
+
+def _told(size: int, wanted):
+    """Rows with their set's number and whether its bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(batch.schema.get_field_index("row"))
+            for first, last, _, at, node in _sets(batch, size):
+                maybe = _inside(wanted.value, node) & (np.diff(at) > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(first, last - first), pa.array(node), pa.array(maybe)], ["row", "node", "maybe"])
+
+    return run
+
+
+def _linked(docs: DataFrame, key: str, text: str, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """(key, n, node) for each row, and (node, component_id, keeper, n_links) for each distinct set that is not empty.
+
+    ``keeper`` is the smallest number of a component's sets that hold its smallest key.
+    """
     if not 50 < similarity <= 100:
         raise ValueError("similarity must be above 50 and at most 100 hundredths")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -95,15 +145,12 @@ def jaccard_links(
     own = nodes.join(roots, "node", "left").join(degree, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    least = own.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = own.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("least"))
     own = own.join(least, "root").select(
-        "node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    linked = rows.where("n > 0").join(own, "node", "left").select("key", "n", "component_id", "n_links")
-    alone = rows.where("n = 0").select("key", "n", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return linked.unionByName(alone).select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", "n_links"
+        "node", F.col("least.first").alias("component_id"), F.col("least.node").alias("keeper"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
+    return rows, own
 
 
 def _node(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -184,6 +231,11 @@ def _member_bits(blocks: DataFrame) -> np.ndarray:
     return out
 
 
+def _inside(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
+    place = (node.view(np.uint64) >> np.uint64(20)) % np.uint64(MEMBER_BITS)
+    return ((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def _sets_of(size: int, wanted, by_gram: bool):
     """The sets of rows whose bit is set: a row per n-gram (gram, node), or one per set (node, grams)."""
 
@@ -191,10 +243,8 @@ def _sets_of(size: int, wanted, by_gram: bool):
         bits = wanted.value
         for batch in batches:
             for _, _, grams, at, node in _sets(batch, size):
-                place = (node.view(np.uint64) >> np.uint64(20)) % np.uint64(MEMBER_BITS)
-                inside = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
                 once = np.unique(node, return_index=True)[1]
-                rows = once[inside[once].astype(bool) & (np.diff(at)[once] > 0)]
+                rows = once[_inside(bits, node[once]) & (np.diff(at)[once] > 0)]
                 if not len(rows):
                     continue
                 if by_gram:
