@@ -114,7 +114,7 @@ def _linked(docs: DataFrame, key: str, text: str, size: int, similarity: int) ->
     met = Window.partitionBy("gram")
     shared = texts.select("text").mapInArrow(_first_look(size, similarity), "gram long, node long, held long")
     shared = shared.select("node", "held", (
-        (F.min("node").over(met) < F.max("node").over(met)) | (F.max("held").over(met) < 0)
+        (F.min("node").over(met) < F.max("node").over(met)) | (F.min("held").over(met) < 0)
     ).cast("long").alias("other"))
     shared = shared.where("node IS NOT NULL AND (other > 0 OR held > 0)").groupBy("node").agg(
         F.sum(F.col("other") + F.greatest("held", F.lit(0))).alias("found"), F.max("held")
