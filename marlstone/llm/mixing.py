@@ -18,6 +18,8 @@ BUDGET = 1.5
 MOST = 2
 #: Newton stops at this relative error of every source.
 EXACT, ROUNDS = 1e-9, 60
+#: Larger sizes that are tried where words are left over.
+TRIES = 32
 #: Hash buckets that documents of one source and size are dealt into before they are ranked.
 BUCKETS = 4096
 
@@ -93,6 +95,17 @@ def balance(sizes: DataFrame, wanted: pd.DataFrame, most: float = MOST) -> pd.Da
     return state
 
 
+def _even(docs: list[int], size: list[int], copies: list[int], left: int) -> tuple[list[int], int]:
+    """Copies with ``left`` more words (fewer, if negative), and the words that no copy fits: largest sizes first."""
+    copies = list(copies)
+    for k, (n, s) in enumerate(zip(docs, size)):
+        if s and abs(left) >= s:
+            move = min(abs(left) // s, MOST * n - copies[k] if left > 0 else copies[k])
+            copies[k] += move if left > 0 else -move
+            left += -move * s if left > 0 else move * s
+    return copies, left
+
+
 def _allot(own: pd.DataFrame) -> pd.DataFrame:
     """Whole copies for each size of one source: rounded along falling sizes, then words are evened out.
 
@@ -109,12 +122,18 @@ def _allot(own: pd.DataFrame) -> pd.DataFrame:
         now = (run + 500_000) // 10**6
         copies.append(min(max(now - before, 0), MOST * n))
         before = now
-    left = int(round(own["target"].iloc[0])) - sum(c * s for c, s in zip(copies, size))
-    for k, (n, s) in enumerate(zip(docs, size)):
-        if s and abs(left) >= s:
-            move = min(abs(left) // s, MOST * n - copies[k] if left > 0 else copies[k])
-            copies[k] += move if left > 0 else -move
-            left += -move * s if left > 0 else move * s
+    copies, left = _even(docs, size, copies, int(round(own["target"].iloc[0])) - sum(c * s for c, s in zip(copies, size)))
+    # Where that ends far off, a copy of a larger document goes the same way and smaller ones go back.
+    larger = [k for k in reversed(range(len(size))) if size[k] > abs(left) and (copies[k] if left < 0 else copies[k] < MOST * docs[k])]
+    for k in larger[:TRIES]:
+        if not left:
+            break
+        step = 1 if left > 0 else -1
+        other = [c + step * (i == k) for i, c in enumerate(copies)]
+        other, rest = _even(docs, size, other, left - step * size[k])
+        if abs(rest) < abs(left):
+            copies, left = other, rest
+            break
     own["copies"] = copies
     return own[["id", "size", "docs", "copies"]]
 
