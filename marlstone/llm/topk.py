@@ -13,14 +13,14 @@ from pyspark.sql.window import Window
 #: Vectors of a shard, which has lists of its own; queries of a pass over all shards.
 SHARD_ROWS, QUERY_ROWS = 1 << 14, 1 << 13
 #: Entries that are read from every list before scores are looked up and the bound is drawn again.
-DEPTH = 64
+DEPTH = 256
 
 
 class SortedLists:
     """The rows of a shard ordered by each component."""
 
     def __init__(self, keys: np.ndarray, vectors: np.ndarray):
-        self.keys, self.vectors = keys, vectors
+        self.keys, self.vectors, self.looked_up = keys, vectors, 0  # the last is of the latest search
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
 
@@ -42,9 +42,10 @@ class SortedLists:
             last = min(depth + DEPTH, rows)
             step = np.arange(depth, last)[:, None]
             place = np.where(forward, step, rows - 1 - step)
-            new = np.unique(self.order[place, used])
-            new = new[~seen[new]]
-            seen[new] = True
+            met = seen.copy()
+            met[self.order[place, used]] = True
+            new = np.flatnonzero(met & ~seen)
+            seen = met
             scores = np.concatenate([scores, self.vectors[new] @ query])
             found = np.concatenate([found, new])
             keep = self.keys[found] != own
@@ -63,6 +64,7 @@ class SortedLists:
         if not len(used):
             found = np.flatnonzero(self.keys != own)
             scores = np.zeros(len(found), np.int64)
+        self.looked_up = int(seen.sum())
         best = np.lexsort((self.keys[found], -scores))[:k]
         return scores[best], self.keys[found[best]]
 
