@@ -50,7 +50,7 @@ def urls(s, d):
 
 
 def _refreshed(s, d, limit=None):
-    pubs = publications(s, d).drop("organisations").withColumn("abstract", F.substring("abstract", 1, 600))
+    pubs = publications(s, d).drop("organisations").withColumn("abstract", F.when(F.col("seq") % 4 > 0, F.col("abstract")).otherwise(""))
     fresh = publications(s, d).filter("seq % 5 < 3").select(
         "publication_url", F.when(F.col("seq") % 5 == 0, F.lit("short")).otherwise(F.col("abstract")).alias("abstract"),
         F.when(F.col("seq") % 5 == 1, F.array(F.lit("someone"))).otherwise(F.col("authors")).alias("authors"), "author_links",
@@ -79,7 +79,7 @@ QUERIES = {
         F.array(*[F.struct(F.col(c).alias("name"), F.lit(u).alias("url")) for c, u in (("lang", "a"), ("source", "b"), ("lang", "c"))])
     )[1].alias("p")).select("doc_id", F.array_join(F.transform("p", lambda a: F.concat(a["name"], a["url"])), ",").alias("people")),
     "ag1_year_counts": lambda s, d: corpus.year_counts(publications(s, d)),
-    "j10_year_gaps": lambda s, d: corpus.year_gaps(publications(s, d).filter("length(abstract) > 8000")),
+    "j10_year_gaps": lambda s, d: corpus.year_gaps(publications(s, d), target=59),
     "pf15_needs_refresh": lambda s, d: publications(s, d).select("seq", corpus.needs_refresh().cast("int").alias("due")),
     "pf22_refresh": _refreshed,
     "pf22_refresh_limited": lambda s, d: _refreshed(s, d, 25),
@@ -91,7 +91,8 @@ QUERIES = {
     "sl8_newest_and_sample": lambda s, d: corpus.newest_and_sample(urls(s, d), 100, 100, 42),
     "x13_absolute_url": lambda s, d: table(s, d, "pages").select(
         "page_id", *[text.absolute_url("url", F.lit(h)).alias(n) for n, h in
-                     (("full", "http://a.b/c"), ("scheme", "//h/x"), ("rooted", "/r/s"), ("query", "?q=1"), ("relative", "n/m"))]
+                     (("full", "http://a.b/c"), ("scheme", "//h/x"), ("rooted", "/r/s"), ("query", "?q=1"), ("relative", "n/m"),
+                      ("climbing", "a/b/c/d/e/f/../../../../../../x"), ("beyond", "../../../../../../../x/./y?z=../w"), ("mixed", "./a/./../b/../c/."))]
     ),
     "x15_augment": lambda s, d: corpus.augment(publications(s, d).select("publication_url", "title", "year"), 500, 42),
     "hx1_links": lambda s, d: pages.links(facts(s, d)).select("page_id", "pos", "link"),
@@ -137,7 +138,7 @@ def _cut(n):
 
 _REPAIRED = f"CASE WHEN title <> '' THEN concat('{PREFIX}', {_cut(50)}, '/') ELSE publication_url END"
 _REFRESH = (
-    "r AS (SELECT seq, substr(abstract, 1, 600) AS a, [author] AS au, seq % 5 < 3 AS found, CASE WHEN seq % 5 = 0 THEN 'short' ELSE abstract END AS na, "
+    "r AS (SELECT seq, CASE WHEN seq % 4 > 0 THEN abstract ELSE '' END AS a, [author] AS au, seq % 5 < 3 AS found, CASE WHEN seq % 5 = 0 THEN 'short' ELSE abstract END AS na, "
     "CASE WHEN seq % 5 = 1 THEN ['someone'] ELSE [author] END AS nau FROM publications), "
     "due AS (SELECT *, found AND length(a) < 500 AS due FROM r), "
     "m AS (SELECT *, due AND length(na) > length(a) AS longer, due AND nau <> au AS other FROM due), "
@@ -183,7 +184,7 @@ ORACLES = {
     "st6_distinct_people": "SELECT doc_id, concat(lang, 'a', ',', source, 'b') AS people FROM documents",
     "ag1_year_counts": _p("SELECT year, count(*) AS count FROM publications GROUP BY 1"),
     "j10_year_gaps": _p(
-        "SELECT CAST(y.range AS VARCHAR) AS year, count(p.seq) AS n FROM range(2010, 2026) y LEFT JOIN (SELECT * FROM publications WHERE length(abstract) > 8000) p ON p.year = CAST(y.range AS VARCHAR) GROUP BY 1 HAVING count(p.seq) < 10"
+        "SELECT CAST(y.range AS VARCHAR) AS year, count(p.seq) AS n FROM range(2010, 2026) y LEFT JOIN publications p ON p.year = CAST(y.range AS VARCHAR) GROUP BY 1 HAVING count(p.seq) < 59"
     ),
     "pf15_needs_refresh": _p("SELECT seq, CAST(length(abstract) < 500 OR lower(author) = 'profiles' AS INTEGER) AS due FROM publications"),
     "pf22_refresh": _refresh_sql(None),
@@ -196,7 +197,8 @@ ORACLES = {
         "WHERE seq < (SELECT max(seq) FROM publications) - 99 ORDER BY md5(concat(publication_url, '|42')) LIMIT 100)"
     ),
     "x13_absolute_url": f"SELECT page_id, 'http://a.b/c' AS \"full\", concat(regexp_extract(url, '^([a-z]+):', 1), '://h/x') AS scheme, concat({_ROOT}, '/r/s') AS rooted, "
-    f"concat({_PAGE}, '?q=1') AS query, concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'n/m') AS relative FROM pages",
+    f"concat({_PAGE}, '?q=1') AS query, concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'n/m') AS relative, "
+    f"concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'x') AS climbing, concat({_ROOT}, '/x/y?z=../w') AS beyond, concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'c/') AS mixed FROM pages",
     "x15_augment": _p(
         "SELECT copy, concat(publication_url, '?aug=', CAST(copy AS VARCHAR)) AS publication_url, concat(title, ' (Augmented ', CAST(copy AS VARCHAR), ')') AS title, "
         "CAST(CAST(year AS INTEGER) + CAST(('0x' || substr(h, 9, 8))::BIGINT % 3 - 1 AS INTEGER) AS VARCHAR) AS year FROM "

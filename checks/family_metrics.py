@@ -45,7 +45,7 @@ QUERIES = {
     "m1_bernoulli_split": lambda s, d: split.bernoulli_split(
         view(s, d, "incidents").select("accident_id", "accident_severity"), "accident_id", "accident_severity"
     )[1].groupBy("accident_severity").agg(F.count("*").alias("test_rows")),
-    "m2_random_split": lambda s, d: split.random_split(scored(s, d), 0.8)[0].groupBy("y").agg(F.count("*").alias("n")),
+    "m2_random_split": lambda s, d: split.random_split(scored(s, d), "row_id", 0.8)[0].groupBy("y").agg(F.count("*").alias("n")),
     "m2_hashed_split": lambda s, d: split.hashed_split(scored(s, d).select("row_id", "y"), "row_id", 0.7, 42),
     "m3_stratified_split": lambda s, d: split.stratified_split(scored(s, d).select("row_id", "y"), "row_id", "y", seed=42),
     "m3_stratified_folds": lambda s, d: split.stratified_folds(scored(s, d).select("row_id", "y"), "row_id", "y", 3, 42),
@@ -69,7 +69,7 @@ QUERIES = {
     "pf19_dx13_residual_table": lambda s, d: metrics.residual_table(estimated(s, d), ["l_orderkey"], "actual", "estimate"),
     "ag32_residual_sum": lambda s, d: metrics.residual_sum(estimated(s, d), "actual", "estimate").select("n", F.round("rss", 0).alias("rss")),
     "m41_error_width": lambda s, d: metrics.error_width(estimated(s, d), "actual", "estimate").select(F.round("half_width", 5).alias("half_width")),
-    "wn8_roc_points": lambda s, d: metrics.roc_points(scored(s, d)).select("threshold", *r9("fpr", "tpr")).filter("threshold <= 1"),
+    "wn8_roc_points": lambda s, d: metrics.roc_points(scored(s, d)).select("threshold", *r9("fpr", "tpr")),
     "wn9_pr_points": lambda s, d: metrics.pr_points(scored(s, d)).select("threshold", *r9("precision", "recall")),
     "m18_ranking_quality": lambda s, d: metrics.ranking_quality(scored(s, d)).select(*r9("roc_auc", "pr_auc")),
     "m18_m19_binary_metrics": lambda s, d: metrics.binary_metrics(scored(s, d), 0.5).select(
@@ -104,6 +104,11 @@ QUERIES = {
 }
 
 
+def _share(key):
+    """The rows whose hash of key and seed is below the share of the training side."""
+    return f"('0x' || substr(md5(concat(CAST({key} AS VARCHAR), '|42')), 1, 12))::BIGINT / 281474976710656.0 < 0.8"
+
+
 def _s(sql, extra=""):
     return with_views(sql, "scored", extra=extra)
 
@@ -202,7 +207,11 @@ ORACLES = {
     "pf19_dx13_residual_table": _EST + f"SELECT l_orderkey, actual, {q.d('estimate', 4)} AS prediction, {q.d('actual - estimate', 4)} AS residual FROM e",
     "ag32_residual_sum": _EST + "SELECT count(*) AS n, round(sum(pow(actual - estimate, 2)), 0) AS rss FROM e",
     "m41_error_width": _EST + "SELECT round(1.96 * stddev_samp(actual - estimate), 5) AS half_width FROM e",
-    "wn8_roc_points": _s("SELECT score AS threshold, round(fp / an, 9) AS fpr, round(tp / ap, 9) AS tpr FROM curve", _CURVE),
+    "m1_bernoulli_split": with_views(
+        f"SELECT accident_severity, count(*) AS test_rows FROM incidents WHERE NOT ({_share('accident_id')} AND accident_severity IS NOT NULL) GROUP BY 1", "incidents"
+    ),
+    "m2_random_split": _s(f"SELECT y, count(*) AS n FROM scored WHERE {_share('row_id')} GROUP BY 1"),
+    "wn8_roc_points": _s("SELECT score AS threshold, round(fp / an, 9) AS fpr, round(tp / ap, 9) AS tpr FROM curve UNION ALL SELECT CAST('infinity' AS DOUBLE), 0, 0", _CURVE),
     "wn9_pr_points": _s(
         "SELECT score AS threshold, round(tp / (tp + fp), 9) AS precision, round(tp / ap, 9) AS recall FROM curve UNION ALL SELECT NULL, 1, 0", _CURVE
     ),

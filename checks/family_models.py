@@ -34,7 +34,7 @@ def _tuned(s, d):
 
 
 def _boosted(s, d):
-    train, test = split.random_split(accidents(s, d))
+    train, test = split.random_split(accidents(s, d), "accident_id")
     fitted = models.risk_pipeline(*RISK, iterations=5, depth=4).fit(train)
     return fitted, fitted.transform(test)
 

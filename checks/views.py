@@ -77,7 +77,7 @@ FROM {events}
 
 PUBLICATIONS = """
 SELECT doc_id, doc_id AS seq, concat('http://pub.example.org/en/publications/', CAST(doc_id AS VARCHAR(20))) AS publication_url,
-       substr(text, 1, 60) AS title, text AS abstract, source AS author, lang AS organisation,
+       split_part(text, chr(10), 1) AS title, text AS abstract, source AS author, lang AS organisation,
        CAST(2010 + doc_id % 17 AS VARCHAR(4)) AS year
 FROM {documents}
 """

@@ -121,6 +121,18 @@ def profile_link(url: Column, name: Column, search_base: str) -> Column:
     return F.coalesce(F.nullif(url, F.lit("")), F.concat(F.lit(search_base), encoded))
 
 
+def _without_steps(path: Column) -> Column:
+    """A rooted path with its "." and ".." steps taken, in one walk; steps above the root stay at the root."""
+    kept = F.aggregate(
+        F.split(path, "/", -1), F.expr("cast(array() AS array<string>)"),
+        lambda done, s: F.when(s == ".", done).when(
+            s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        ).otherwise(F.concat(done, F.array(s))),
+    )
+    ends_in_step = path.rlike(r"/\.\.?$")
+    return F.concat(F.array_join(kept, "/"), F.when(ends_in_step, "/").otherwise(""))
+
+
 def absolute_url(base: Column | str, href: Column | str) -> Column:
     """Resolve a link against its page: full, protocol-relative, rooted, query and relative links."""
     base, href = _col(base), _col(href)
@@ -129,12 +141,9 @@ def absolute_url(base: Column | str, href: Column | str) -> Column:
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     page = F.when(page == root, F.concat(page, F.lit("/"))).otherwise(page)
     folder = F.regexp_extract(page, r"^(.*/)", 1)
-    joined = F.concat(folder, href)
-    # "a/../" and "./" steps: three rounds cover what stored links contain.
-    joined = F.regexp_replace(joined, r"(?<=/)\./", "")
-    for _ in range(3):
-        joined = F.regexp_replace(joined, r"(?<=[^/:]/)(?!\.\./)[^/?#]+/\.\./", "")
-    joined = F.regexp_replace(joined, r"(?<=[^/:]/)(\.\./)+", "")
+    tail = F.regexp_extract(href, r"([?#].*)$", 1)
+    path = F.substr(F.concat(folder, F.regexp_extract(href, r"^([^?#]*)", 1)), F.length(root) + 1)
+    joined = F.concat(root, _without_steps(path), tail)
     return (
         F.when(href == "", base)
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)

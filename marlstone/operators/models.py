@@ -237,21 +237,14 @@ SEGMENT_AVERAGES = {
 
 
 def nearest_centroid(points: DataFrame, centroids: DataFrame, vector: str, key: str, label: str) -> DataFrame:
-    """(key, cluster, distance): the closest of a few fixed centroids, the smallest label on ties.
+    """(key, cluster, distance): the closest centroid, the smallest label on ties.
 
-    The centroids travel as one small array next to each point, checked to be at most 10000.
+    The centroids travel as one array next to each point and are walked there.
     """
-    rows = centroids.select(label, vector).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("too many centroids")
-    distances = []
-    for row in sorted(rows, key=lambda r: r[label]):
-        centre = F.array(*[F.lit(float(v)) for v in row[vector]])
-        gap = F.zip_with(vector, centre, lambda a, b: (a - b) * (a - b))
-        distances.append(
-            F.struct(F.aggregate(gap, F.lit(0.0), lambda acc, v: acc + v).alias("d"), F.lit(row[label]).alias("c"))
-        )
-    best = points.select(key, F.array_min(F.array(*distances)).alias("b"))
+    packed = centroids.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("c"), F.col(vector).alias("v")))).alias("_all"))
+    gap = lambda v: F.aggregate(F.zip_with(vector, v, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    nearest = F.array_min(F.transform("_all", lambda c: F.struct(gap(c["v"]).alias("d"), c["c"].alias("c"))))
+    best = points.crossJoin(F.broadcast(packed)).select(key, nearest.alias("b"))  # one row on the right
     return best.select(key, F.col("b.c").alias("cluster"), F.col("b.d").alias("distance"))
 
 

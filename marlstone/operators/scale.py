@@ -7,6 +7,8 @@ only one row per range (a bounded number) is ever added up in a single place.
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -159,7 +161,7 @@ def exact_quantiles(
     bins: int = 2048,
     settle: int = 20_000,
 ) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles of numeric columns, NULL and NaN left out.
+    """Exact linear-interpolated quantiles of numeric columns, NULL and NaN left out, infinities as values.
 
     Each wanted rank is narrowed by histograms. A round is one aggregate over the table for all
     columns and open ranks; it returns at most ``bins`` counts per open range, and a range then
@@ -200,19 +202,38 @@ def exact_quantiles(
     return {c: [_interpolate(found, c, stats[c]["n"], p) for p in probs] for c in columns}
 
 
+def _place(v: Column, low: float, high: float, bins: int) -> Column:
+    """The bin of a value within [low, high], monotone in it; ``low`` and ``high`` never share one.
+
+    Ends of one sign and magnitude are cut into equal steps, others into equal steps of the logarithm, so
+    that every round shrinks a range whatever its magnitudes. Infinities have bins of their own.
+    """
+    largest = sys.float_info.max
+    if math.isinf(low) or math.isinf(high):
+        inner = _place(v, max(low, -largest), min(high, largest), bins) if low < largest and high > -largest else F.lit(0.0)
+        return F.when(v == float("inf"), F.lit(float(bins))).when(v == float("-inf"), F.lit(-1.0)).otherwise(inner)
+    if low * high > 0 and 0.25 <= low / high <= 4 or max(abs(low), abs(high)) < 1e-290:
+        return F.least(F.floor((v - low) / (high - low) * bins), F.lit(bins - 1)).cast("double")
+
+    def steps(x):  # 0 for 0, from 1 (the least double) to 1456 either side of it
+        return F.when(x == 0, 0.0).otherwise(F.signum(x) * (F.log(F.abs(x)) + 746))
+
+    start = math.copysign(math.log(abs(low)) + 746, low) if low else 0.0
+    end = math.copysign(math.log(abs(high)) + 746, high) if high else 0.0
+    return F.greatest(F.lit(0.0), F.least(F.floor((steps(v) - start) / (end - start) * bins), F.lit(bins - 1)).cast("double"))
+
+
 def _count_ranges(values: DataFrame, ranges: list[tuple], bins: int, settle: int) -> DataFrame:
     """Counts per range and bin (small ranges: per value): (r, low, high, n)."""
     pieces = []
     for i, (c, low, high, _, inside) in enumerate(ranges):
         v = F.col(c)
-        place = v if inside <= settle else F.least(
-            F.floor((v - low) / (high - low) * bins), F.lit(bins - 1)
-        ).cast("double")
+        place = v if inside <= settle else _place(v, low, high, bins)
         pieces.append(
             F.when(v.between(low, high), F.struct(F.lit(i).alias("r"), place.alias("b"), v.alias("v")))
         )
     hits = values.select(F.explode(F.array(*pieces)).alias("h")).filter("h IS NOT NULL").select("h.*")
-    return hits.groupBy("r", "b").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))
+    return hits.groupBy("r", "b").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
 
 
 def _interpolate(found: dict, column: str, n: int, p: float) -> float | None:
@@ -221,4 +242,4 @@ def _interpolate(found: dict, column: str, n: int, p: float) -> float | None:
     position = p * (n - 1)
     k = int(position)
     low, high = found[column, k], found[column, min(k + 1, n - 1)]
-    return low + (high - low) * (position - k)
+    return low if low == high or position == k else low + (high - low) * (position - k)

@@ -9,18 +9,22 @@ from pyspark.sql.window import Window
 from marlstone.operators.scale import broadcast_within, hash_order, number_rows
 
 
+def _in_share(key: str, share: float, seed: int | str):
+    """True for about ``share`` of the keys: the leading 48 bits of the MD5 of key and seed, as a number below 1."""
+    h, _ = hash_order(key, seed)
+    return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / float(16**12) < share
+
+
 def bernoulli_split(
     df: DataFrame, key: str, label: str, share: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Random split per class; the test rows are the rows that are not in train.
+    """Random split with the same share for each class; rows without a class are test rows.
 
-    ``key`` must be unique and free of NULL, see :func:`assert_key`.
+    A row's side depends on its key and the seed alone, so train and test stay complements however
+    often and in whatever order the input is computed. ``key`` must be free of NULL.
     """
-    labels = [r[0] for r in df.select(label).distinct().limit(10_001).collect()]
-    if len(labels) > 10_000:
-        raise ValueError(f"{label} has more than 10000 values; it is not a class label")
-    train = df.sampleBy(label, {v: share for v in labels if v is not None}, seed=seed)
-    return train, not_in(df, train, key)
+    train = _in_share(key, share, seed) & F.col(label).isNotNull()
+    return df.filter(train), df.filter(~train)
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -38,9 +42,10 @@ def assert_key(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def random_split(df: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    train, test = df.randomSplit([share, 1 - share], seed=seed)
-    return train, test
+def random_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Random split of expected shares, decided by the key and the seed alone."""
+    train = _in_share(key, share, seed)
+    return df.filter(train), df.filter(~train)
 
 
 def hashed_split(df: DataFrame, key: str, share: float = 0.7, seed: int | str = 42) -> DataFrame:

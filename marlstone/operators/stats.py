@@ -217,25 +217,23 @@ def prediction_interval(df: DataFrame, f: Fit, level: float = 0.95) -> DataFrame
 
 
 def autocorrelation(df: DataFrame, row_id: str, value: str, lags: int | None = None, block: int = 1_000_000) -> DataFrame:
-    """Autocorrelation by lag along consecutive row ids: (lag, acf), lag 0 included.
+    """Autocorrelation by lag of the row id: (lag, acf), lag 0 included. A lag pairs ids that differ by it.
 
-    The series is cut into blocks; each block also gets the last rows of the block before it, so
-    that every lagged product is formed inside one block. The default lag count is
-    ``floor(10 * log10(n))``.
+    The series is cut into blocks; each block also gets the earlier rows that its lags reach, from as
+    many blocks as that takes, so that every lagged product is formed inside one block. Ids must be
+    unique; gaps have no products. The default lag count is ``floor(10 * log10(n))``.
     """
     stats = df.agg(F.count(value).alias("n"), F.avg(value).alias("mean")).first()
     if lags is None:
         lags = max(1, min(stats["n"] - 1, int(10 * math.log10(stats["n"])))) if stats["n"] > 1 else 0
     e = df.select(F.col(row_id).cast("bigint").alias("id"), (F.col(value) - stats["mean"]).alias("e"))
     home = F.floor(F.col("id") / block).cast("bigint")
-    # The last ``lags`` rows of a block are repeated in the next one.
-    reaches_next = (F.col("id") % block) >= block - lags
     spread = e.withColumn("home", home).withColumn(
-        "block", F.explode(F.when(reaches_next, F.array(home, home + 1)).otherwise(F.array(home)))
+        "block", F.explode(F.sequence(home, F.floor((F.col("id") + lags) / block).cast("bigint")))
     )
     order = Window.partitionBy("block").orderBy("id")
     shifted = spread.select(
-        "id", "e", "home", "block", *[F.lag("e", k).over(order).alias(f"l{k}") for k in range(1, lags + 1)]
+        "id", "e", "home", "block", *[F.max("e").over(order.rangeBetween(-k, -k)).alias(f"l{k}") for k in range(1, lags + 1)]
     ).filter("home = block")
     total = F.sum(F.col("e") * F.col("e"))
     row = shifted.agg(
