@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.texts import ALNUM, hashes, slices, words
+from marlstone.llm.texts import ALNUM, carried, hashes, slices, words
 
 #: Words of a window.
 WINDOW = 13
@@ -191,19 +191,19 @@ def contamination(
     """
     spark = docs.sparkSession
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", F.col("row")[text].alias("text"), F.lit(None).cast("long").alias("n_words"),
+        "row", F.lit(None).cast("long").alias("n_words"),
         F.expr("cast(array() AS array<struct<start:bigint,end:bigint>>)").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("item_ids"),
     )
     kind = docs.schema.simpleString()
-    shape = f"row {kind}, text string, n_words long, spans array<struct<start:bigint,end:bigint>>, item_ids array<string>"
+    shape = f"row {kind}, n_words long, spans array<struct<start:bigint,end:bigint>>, item_ids array<string>"
     blocks = 0
     asked = items.select(F.col(item_key).cast("string").alias("name"), F.col(item_text).alias("text"))
     for block in _blocks(asked, block_bytes, window):
-        out = out.mapInArrow(_match(spark.sparkContext.broadcast(block)), shape)
+        out = out.mapInArrow(_match(spark.sparkContext.broadcast(block), text), shape)
         blocks += 1
     if not blocks:
-        out = out.mapInArrow(_match(None), shape)
+        out = out.mapInArrow(_match(None, text), shape)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     ids = F.array_sort(F.array_distinct(F.filter("item_ids", lambda x: x.isNotNull())))
     return out.select(
@@ -288,7 +288,7 @@ class _Shard:
                     ids[k] = list(dict.fromkeys(ids[k] + named[first + k]))
                 new_spans, new_ids = pa.array(have, new_spans.type), pa.array(ids, new_ids.type)
             yield pa.RecordBatch.from_arrays(
-                [columns["row"], columns["text"], pa.array(counts, pa.int64()), new_spans, new_ids], list(columns)
+                [columns["row"], pa.array(counts, pa.int64()), new_spans, new_ids], list(columns)
             )
             first += batch.num_rows
 
@@ -332,7 +332,7 @@ def _search(symbols: np.ndarray, rows: np.ndarray, place: np.ndarray, block: Phr
     return spans, named
 
 
-def _match(sent):
+def _match(sent, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = sent.value if sent is not None else None
         quick = np.zeros(1 << 16, bool)
@@ -340,7 +340,7 @@ def _match(sent):
             quick[(block.vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
         shard = _Shard()
         for batch in batches:
-            for first, last, data, offsets in slices(batch.column(batch.schema.get_field_index("text"))):
+            for first, last, data, offsets in slices(carried(batch, text)[1]):
                 shard.add(batch.slice(first, last - first), data, offsets, block, quick)
                 if shard.full():
                     yield from shard.close(block)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.gru import PAD, Network, label_windows, train
 from marlstone.llm.samples import bounded, remainder
-from marlstone.llm.texts import slices
+from marlstone.llm.texts import carried, slices
 
 #: Documents and characters of each that the network is fitted on.
 SAMPLE_DOCS, SAMPLE_CHARS = 2048, 2048
@@ -47,11 +47,11 @@ def identify(docs: DataFrame, model: tuple[Network, list[str]] | None, text: str
     are read in windows, so memory does not grow with them. Only the text is read; other columns pass.
     """
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    out = out.select("row", F.when(F.col("row")[text].rlike(r"\p{L}"), F.col("row")[text]).alias("text"))
+    out = out.select("row", F.coalesce(F.col("row")[text].rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     if model is None:
         return out.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return out.mapInArrow(_label(sent), f"row {docs.schema.simpleString()}, lang_pred string, score double")
+    return out.mapInArrow(_label(sent, text), f"row {docs.schema.simpleString()}, lang_pred string, score double")
 
 
 def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -70,17 +70,19 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums / np.maximum(size, 1)[:, None]
 
 
-def _label(sent):
+def _label(sent, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, names = sent.value
         names = np.array([*names, "und"], object)
         for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for first, last, data, offsets in slices(column["text"]):
-                chance = pooled(net, data, offsets)
-                best = np.where(np.diff(offsets) > 0, chance.argmax(axis=1), len(names) - 1)
+            rows, texts = carried(batch, text)
+            lettered = batch.column(batch.schema.get_field_index("lettered")).to_numpy(zero_copy_only=False)
+            for first, last, data, offsets in slices(texts):
+                told = lettered[first:last].astype(bool)
+                chance = pooled(net, data, offsets) * told[:, None]
+                best = np.where(told, chance.argmax(axis=1), len(names) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [column["row"].slice(first, last - first), pa.array(names[best], pa.string()),
+                    [rows.slice(first, last - first), pa.array(names[best], pa.string()),
                      pa.array(np.minimum(chance.max(axis=1), 1.0))], ["row", "lang_pred", "score"],
                 )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marlstone.llm.links import components, cut
-from marlstone.llm.texts import mix, shingle_sets, slices
+from marlstone.llm.texts import carried, mix, shingle_sets, slices
 
 #: Rows of a matrix block, and columns multiplied at once.
 BLOCK_ROWS = 256
@@ -70,8 +70,8 @@ def drop_linked(
     own = cut(own.where("n_links > 0").select("node", "component_id", "keeper"))
     bits = docs.sparkSession.sparkContext.broadcast(_member_bits(own))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    whole = whole.select("row", F.col("row")[text].alias("text")).mapInArrow(
-        _told(size, bits), f"row {docs.schema.simpleString()}, node long, maybe boolean")
+    whole = whole.mapInArrow(
+        _told(size, text, bits), f"row {docs.schema.simpleString()}, node long, maybe boolean")
     free = whole.where("NOT maybe").select("row")
     tied = whole.where("maybe").join(own, "node", "left").where(
         F.col("component_id").isNull() & F.col("keeper").isNull() | F.col("row")[key].eqNullSafe(F.col("component_id"))
@@ -80,13 +80,13 @@ def drop_linked(
     return free.unionByName(tied.where("keeper IS NULL").select("row")).unionByName(once).select("row.*")
 
 
-def _told(size: int, wanted):
+def _told(size: int, text: str, wanted):
     """Rows with their set's number and whether its bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(batch.schema.get_field_index("row"))
-            for first, last, _, at, node in _sets(batch, size):
+            rows, texts = carried(batch, text)
+            for first, last, _, at, node in _sets(texts, size):
                 maybe = _inside(wanted.value, node) & (np.diff(at) > 0)
                 yield pa.RecordBatch.from_arrays(
                     [rows.slice(first, last - first), pa.array(node), pa.array(maybe)], ["row", "node", "maybe"])
@@ -160,8 +160,8 @@ def _node(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
-def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    for first, last, data, offsets in slices(batch.column(batch.schema.get_field_index("text"))):
+def _sets(texts: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    for first, last, data, offsets in slices(texts):
         grams, at = shingle_sets(data, offsets, size)
         yield first, last, grams, at, _node(grams, at)
 
@@ -172,7 +172,7 @@ def _numbered(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index("key"))
-            for first, last, _, at, node in _sets(batch, size):
+            for first, last, _, at, node in _sets(batch.column(batch.schema.get_field_index("text")), size):
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(first, last - first), pa.array(np.diff(at)), pa.array(node)], ["key", "n", "node"]
                 )
@@ -190,7 +190,7 @@ def _first_look(size: int, similarity: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, grams, at, node in _sets(batch, size):
+            for _, _, grams, at, node in _sets(batch.column(batch.schema.get_field_index("text")), size):
                 rows = np.unique(node, return_index=True)[1]
                 n = np.diff(at)[rows]
                 rows, n = rows[n > 0], n[n > 0]
@@ -242,7 +242,7 @@ def _sets_of(size: int, wanted, by_gram: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
-            for _, _, grams, at, node in _sets(batch, size):
+            for _, _, grams, at, node in _sets(batch.column(batch.schema.get_field_index("text")), size):
                 once = np.unique(node, return_index=True)[1]
                 rows = once[_inside(bits, node[once]) & (np.diff(at)[once] > 0)]
                 if not len(rows):

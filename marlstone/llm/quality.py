@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.samples import bounded, remainder
 from marlstone.llm.shape import SIZE, measures
-from marlstone.llm.texts import slices
+from marlstone.llm.texts import carried, slices
 
 #: Trusted positives and unlabelled documents that the model is fitted on, of each.
 SAMPLE_DOCS = 6144
@@ -143,20 +143,20 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         found = out.withColumn("score", F.lit(0.0))
     else:
         sent = docs.sparkSession.sparkContext.broadcast(model)
-        found = out.select("row", F.col("row")[text].alias("text")).mapInArrow(
-            _score(sent), f"row {docs.schema.simpleString()}, score double")
+        found = out.mapInArrow(
+            _score(sent, text), f"row {docs.schema.simpleString()}, score double")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _score(sent):
+def _score(sent, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for first, last, data, offsets in slices(column["text"]):
+            rows, texts = carried(batch, text)
+            for first, last, data, offsets in slices(texts):
                 value = sigmoid(model.margin(measures(data, offsets).astype(float)))
                 yield pa.RecordBatch.from_arrays(
-                    [column["row"].slice(first, last - first), pa.array(value)], ["row", "score"])
+                    [rows.slice(first, last - first), pa.array(value)], ["row", "score"])
 
     return run
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -31,6 +31,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def carried(batch: pa.RecordBatch, text: str) -> tuple[pa.Array, pa.Array]:
+    """The carried rows of a batch and their texts, which travel once."""
+    rows = batch.column(batch.schema.get_field_index("row"))
+    return rows, rows.field(text)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets of the rows in them) over a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -48,6 +54,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         last = min(last, n)
         yield first, last, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
+    pa.default_memory_pool().release_unused()  # workers are many and kept, so none should hold what it has freed
 
 
 def words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
