@@ -6,6 +6,8 @@ last one returns what it read back from its files.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,22 @@ from marlstone.llm import fm_index, language, mixing, ngram_join, token_files
 from marlstone.llm.samples import remainder
 
 
+#: Rows that travel to a Python task at once: texts are long, and executors run several tasks.
+BATCH_ROWS = 1000
+
+
+def small_batches(stage):
+    """The stage with bounded Arrow batches, whatever the session's default."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@small_batches
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or without a letter) go; ``lang`` is the one told by the text.
 
@@ -24,23 +42,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         *[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
+@small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of exact or near copies stays, the one of the smallest id."""
     return ngram_join.drop_linked(docs)
 
 
+@small_batches
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with at least one word in twenty inside benchmark windows go."""
     found = fm_index.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where("NOT contaminated").select("row.*")
 
 
+@small_batches
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     mixed = mixing.mix(docs)
     return mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
+@small_batches
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32 per copy."""
     import public_tokenizers
