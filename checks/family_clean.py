@@ -22,7 +22,13 @@ def cleaned(spark, d):
 
 
 def engineered(spark, d):
-    return features.engineer_vehicles(cleaned(spark, d))
+    return features.engineer_vehicles(cleaned(spark, d), raw(spark, d))
+
+
+def _bundle_of(spark, d, name):
+    df = features.bundle(engineered(spark, d), name, ("vid",))
+    days = [c for c in ("days_since_last_service", "days_to_warranty_expiry", "condition_score") if c in df.columns]
+    return df.withColumns({c: F.col(c).cast("double") for c in days})
 
 
 def _text_dates(df):
@@ -77,9 +83,9 @@ QUERIES = {
     "ag24_class_means": lambda s, d: features.class_means(
         engineered(s, d), [*features.ENGINEERED_NUMERIC]
     ).select("feature", *[F.round(c, 6).alias(c) for c in ("class_0", "class_1")]),
-    "pf12_leakage_aware_bundle": lambda s, d: features.bundle(engineered(s, d), "leakage_aware_lr", ("vid",)).withColumns(
-        {c: F.col(c).cast("double") for c in ("days_since_last_service", "days_to_warranty_expiry")}
-    ),
+    "pf12_leakage_aware_bundle": lambda s, d: _bundle_of(s, d, "leakage_aware_lr"),
+    "pf12_engineered_bundle": lambda s, d: _bundle_of(s, d, "engineered_full_lr"),
+    "pf12_baseline_bundle": lambda s, d: _bundle_of(s, d, "baseline_cleaned_lr"),
     "pf13_drop_constant": lambda s, d: explore.drop_constant(
         engineered(s, d).select("vid", "fuel_type", "vehicle_age", F.lit("x").alias("constant"), F.lit(None).cast("int").alias("empty"))
     ),
@@ -108,6 +114,7 @@ _all = ["vehicle_model", "maintenance_history", "fuel_type", "transmission_type"
         "brake_condition", "battery_status", "mileage", "reported_issues", "vehicle_age", "engine_size",
         "odometer_reading", "insurance_premium", "service_history", "accident_history", "fuel_efficiency",
         "last_service_date", "warranty_expiry_date", "need_maintenance"]
+_whole = [*features.BASE_NUMERIC, *features.ENGINEERED_NUMERIC, *features.BASE_CATEGORICAL]
 _bundle = [c for c in [*features.BASE_NUMERIC, *features.ENGINEERED_NUMERIC, *features.BASE_CATEGORICAL]
            if c not in ("tire_condition", "brake_condition", "battery_status", "condition_score")]
 
@@ -202,6 +209,10 @@ ORACLES = {
         ), q.ENGINEERED
     ),
     "pf12_leakage_aware_bundle": _vehicle_sql(f"SELECT vid, {', '.join(_bundle)}, need_maintenance FROM engineered", q.ENGINEERED),
+    "pf12_engineered_bundle": _vehicle_sql(f"SELECT vid, {', '.join(_whole)}, need_maintenance FROM engineered", q.ENGINEERED),
+    "pf12_baseline_bundle": _vehicle_sql(
+        f"SELECT vid, {', '.join([*features.BASE_NUMERIC, *features.BASE_CATEGORICAL])}, need_maintenance FROM engineered", q.ENGINEERED
+    ),
     "pf13_drop_constant": _vehicle_sql("SELECT vid, fuel_type, vehicle_age FROM cleaned", q.CLEANED),
     "pf23_complete_cases": _vehicle_sql(
         "SELECT vid, fuel_type, mileage FROM cleaned WHERE fuel_type IS NOT NULL AND mileage IS NOT NULL", q.CLEANED

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.views import table, view, with_views
 from marlstone.functions import text
 from marlstone.operators import corpus
+from marlstone.session import settle
 from marlstone.sources import pages
 
 PREFIX = "http://pub.example.org/en/publications/"
@@ -110,9 +111,9 @@ QUERIES = {
     ).unionByName(corpus.crawlable_links(pages.links(facts(s, d, "/en/organisations/")), url="link")).select("page_id", "pos", "link"),
     "hx7_pages_to_corpus": lambda s, d: corpus.merge(
         publications(s, d).select("publication_url", "seq", "title", "year", "abstract", "organisations"),
-        corpus.titled(pages.publications(facts(s, d)).select(
+        settle(corpus.titled(pages.publications(facts(s, d)).select(
             "publication_url", F.col("page_id").alias("seq"), "title", "year", "abstract", F.array(F.lit("ORG")).alias("organisations")
-        )),
+        ))),
     ).select("publication_url", "title", "year", F.array_join("organisations", ",").alias("organisations")),
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import family_clean
 from checks.views import table, view, with_views
 from marlstone.functions import fixed
-from marlstone.operators import clean, dashboard, inference, metrics, models, split, textclass
+from marlstone.operators import clean, dashboard, features, inference, metrics, models, split, textclass
 
 SEVERITY = (("weather", "visibility", "road_type", "cause"), ("risk_score", "hour"))
 RISK = (("weather", "road_type", "accident_severity"), ("temperature", "hour"))
@@ -44,7 +44,7 @@ def _segments(s, d):
 
     df = accidents(s, d)
     data = Pipeline(stages=models.feature_stages(*SEGMENT, scale=True)).fit(df).transform(df)
-    return data, *models.sweep_clusters(data, (2, 3, 4))
+    return data, *models.sweep_clusters(data, (2, 3, 4, 5, 6))
 
 
 def _profile(s, d):
@@ -72,7 +72,7 @@ def _evaluated(s, d, name="engineered_full_lr"):
 
 def _all_metrics(s, d):
     out = None
-    for name in ("baseline_cleaned_lr", "leakage_aware_lr"):
+    for name in ("baseline_cleaned_lr", "engineered_full_lr", "leakage_aware_lr"):
         one = _evaluated(s, d, name)["metrics"]
         out = one if out is None else out.unionByName(one)
     return out
@@ -84,8 +84,8 @@ def _priority(s, d):
     return models.priority_table(b, r["model"], r["threshold"], "vid")
 
 
-def _logit(s, d):
-    return inference.fit_logit(family_clean.engineered(s, d), "leakage_aware_lr", "vid")
+def _logit(s, d, name="engineered_full_lr"):
+    return inference.fit_logit(family_clean.engineered(s, d), name, "vid")
 
 
 def texts(s, d):
@@ -141,13 +141,13 @@ QUERIES = {
     "m15_m21_bundle_metrics": _all_metrics,
     "m16_coefficients": lambda s, d: _evaluated(s, d)["coefficients"],
     "m20_tuned_summary": lambda s, d: models.tuned_summary(_all_metrics(s, d)),
-    "m22_l2_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l2", (0.05, 1.0)),
-    "m23_l1_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l1", (0.01, 0.1)),
+    "m22_l2_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l2"),
+    "m23_l1_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l1"),
     "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, "leakage_aware_lr")], (15,))),
     "m25_grid_search": lambda s, d: models.grid_search(_bundle(s, d, "leakage_aware_lr"), "vid", (1.0,), ("l1", "l2"), ("balanced",), folds=2),
     "m26_priority_table": _priority,
     "m28_m29_odds_ratios": lambda s, d: inference.odds_ratios(s, _logit(s, d)),
-    "m30_goodness_of_fit": lambda s, d: inference.goodness_of_fit(s, [_logit(s, d)]),
+    "m30_goodness_of_fit": lambda s, d: inference.goodness_of_fit(s, [_logit(s, d, name) for name in features.bundles()]),
     "m30_log_likelihoods": lambda s, d: inference.log_likelihoods(view(s, d, "scored").withColumn("p", F.col("p") * 0.98 + 0.01)).select(
         "n_obs", F.round("log_likelihood", 4).alias("log_likelihood"), F.round("null_log_likelihood", 4).alias("null_log_likelihood")
     ),

@@ -136,8 +136,9 @@ def refresh(
     marked = marked.withColumn("changed", F.col("_longer") | F.col("_other"))
     if limit is not None:
         # The n-th changed row in order is where updating stops.
-        last = marked.filter("changed").select(seq).orderBy(seq).limit(limit).agg(F.max(seq)).scalar()
-        marked = marked.withColumn("changed", F.col("changed") & (F.col(seq) <= last))
+        place = F.struct(F.col(seq), F.col(key))
+        last = marked.filter("changed").select(place.alias("p")).orderBy("p").limit(limit).agg(F.max("p")).scalar()
+        marked = marked.withColumn("changed", F.col("changed") & (place <= last))
     return marked.select(
         *[
             F.when(F.col("changed") & F.col("_longer"), F.col("_abstract")).otherwise(F.col("abstract")).alias(c)

@@ -24,9 +24,16 @@ ENGINEERED_NUMERIC = (
 CONDITION_COLUMNS = ("tire_condition", "brake_condition", "battery_status", "condition_score")
 
 
-def engineer_vehicles(df: DataFrame) -> DataFrame:
-    """Day differences to the latest service date, rates per year of age and condition scores."""
-    latest = df.agg(F.max("last_service_date")).scalar()
+def engineer_vehicles(df: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Day differences to the latest service date, rates per year of age and condition scores.
+
+    With the raw table that ``df`` was cleaned from, the latest date is read from two of its columns, so
+    that the cleaning runs once: duplicates do not change a maximum.
+    """
+    dates = df if raw is None else clean.typed_vehicles(
+        raw.select("last_service_date", clean.VEHICLE_TARGET)
+    ).filter(F.col(clean.VEHICLE_TARGET).isNotNull())
+    latest = dates.agg(F.max("last_service_date")).scalar()
     df = df.withColumns(
         {
             "days_since_last_service": F.datediff(latest, "last_service_date"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators import corpus, search
+from marlstone.session import settle
 from marlstone.sources import pages
 
 
@@ -19,7 +20,8 @@ def extract(page_table: DataFrame, organisation: str | None = None) -> DataFrame
 
 def update(old: DataFrame, page_table: DataFrame, organisation: str | None = None) -> DataFrame:
     """The corpus after merging newly fetched pages."""
-    return corpus.merge(old, extract(page_table, organisation).select(*old.columns))
+    # The merge reads the new records more than once; pages are parsed once.
+    return corpus.merge(old, settle(extract(page_table, organisation).select(*old.columns)))
 
 
 def reindex(records: DataFrame, path: str, seq: str = "seq") -> search.Index:

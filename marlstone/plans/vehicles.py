@@ -8,7 +8,7 @@ from marlstone.operators import clean, features, models
 
 
 def prepare(raw: DataFrame) -> DataFrame:
-    return features.engineer_vehicles(clean.clean_vehicles(raw))
+    return features.engineer_vehicles(clean.clean_vehicles(raw), raw)
 
 
 def evaluate(df: DataFrame, key: str) -> dict[str, DataFrame]:
