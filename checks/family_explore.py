@@ -25,10 +25,10 @@ def _exact(s, d):
 
 QUERIES = {
     "ag1_frequency": lambda s, d: profile.frequency(incidents(s, d), "accident_severity"),
-    "ag2_hotspots": lambda s, d: explore.hotspots(incidents(s, d)),
-    "ag3_day_hour_counts": lambda s, d: explore.day_hour_counts(incidents(s, d)),
-    "ag4_cause_severity_counts": lambda s, d: explore.cause_severity_counts(incidents(s, d)),
-    "ag5_risk_by_severity": lambda s, d: explore.risk_by_severity(incidents(s, d)),
+    "ag2_hotspots": lambda s, d: explore.grouped_summary(incidents(s, d), **explore.SUMMARIES["hotspots"]),
+    "ag3_day_hour_counts": lambda s, d: explore.grouped_summary(incidents(s, d), **explore.SUMMARIES["day_hour"]),
+    "ag4_cause_severity_counts": lambda s, d: explore.grouped_summary(incidents(s, d), **explore.SUMMARIES["cause_severity"]),
+    "ag5_risk_by_severity": lambda s, d: explore.grouped_summary(incidents(s, d), **explore.SUMMARIES["risk_by_severity"]),
     "ag6_shape": lambda s, d: profile.shape(incidents(s, d)),
     "ag6_type_tally": lambda s, d: profile.type_tally(incidents(s, d)),
     "ag7_null_counts": lambda s, d: profile.null_counts(incidents(s, d)),

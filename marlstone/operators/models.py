@@ -37,25 +37,30 @@ SEGMENT_CATEGORICAL = ("traffic_density", "visibility", "weather", "road_type")
 SEGMENT_NUMERIC = ("risk_score", "hour", "casualties", "is_peak_hour", "is_weekend", "temperature")
 
 
+def _coded(names: Sequence[str], columns: Sequence[str], order: str, unknown: str) -> tuple[list, list[str]]:
+    """Stages that turn category columns into 0/1 vectors, and the vectors' names (``names`` with a suffix)."""
+    if not names:
+        return [], []
+    numbers, vectors = [f"{c}_code" for c in names], [f"{c}_hot" for c in names]
+    index = StringIndexer(inputCols=list(columns), outputCols=numbers, handleInvalid=unknown, stringOrderType=order)
+    return [index, OneHotEncoder(inputCols=numbers, outputCols=vectors)], vectors
+
+
+def _joined(parts: Sequence[str], output: str, scale: bool = False, nulls: str = "error") -> list:
+    """Stages that join columns into one vector, with ``scale`` of mean 0 and deviation 1."""
+    if not scale:
+        return [VectorAssembler(inputCols=list(parts), outputCol=output, handleInvalid=nulls)]
+    plain = f"{output}_plain"
+    return [VectorAssembler(inputCols=list(parts), outputCol=plain, handleInvalid=nulls),
+            StandardScaler(inputCol=plain, outputCol=output, withMean=True)]
+
+
 def feature_stages(
     categorical: Sequence[str], numeric: Sequence[str], output: str = "features", scale: bool = False
 ) -> list:
-    """Index, encode and assemble; with ``scale`` the whole vector is standardised."""
-    stages: list = []
-    if categorical:
-        indexed = [f"{c}_idx" for c in categorical]
-        encoded = [f"{c}_ohe" for c in categorical]
-        stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded),
-        ]
-    else:
-        encoded = []
-    target = f"{output}_raw" if scale else output
-    stages.append(VectorAssembler(inputCols=[*encoded, *numeric], outputCol=target, handleInvalid="keep"))
-    if scale:
-        stages.append(StandardScaler(inputCol=target, outputCol=output, withMean=True, withStd=True))
-    return stages
+    """Categories as 0/1 vectors joined with the numbers; with ``scale`` the whole vector is standardised."""
+    stages, vectors = _coded(categorical, categorical, "frequencyDesc", "keep")
+    return stages + _joined([*vectors, *numeric], output, scale, "keep")
 
 
 def _fill_stage(fills: dict[str, object], numeric: Sequence[str], categorical: Sequence[str]) -> SQLTransformer:
@@ -83,23 +88,11 @@ def preprocessor(
     stages: list = [_fill_stage(fills, numeric, categorical)]
     parts = []
     if numeric:
-        stages += [
-            VectorAssembler(inputCols=[f"{c}_f" for c in numeric], outputCol="numbers_raw"),
-            StandardScaler(inputCol="numbers_raw", outputCol="numbers", withMean=True, withStd=True),
-        ]
+        stages += _joined([f"{c}_f" for c in numeric], "numbers", scale=True)
         parts.append("numbers")
-    if categorical:
-        drop_first = order == "alphabetDesc"
-        stages += [
-            StringIndexer(
-                inputCols=[f"{c}_f" for c in categorical], outputCols=[f"{c}_idx" for c in categorical],
-                handleInvalid="error" if drop_first else "keep", stringOrderType=order,
-            ),
-            OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_ohe" for c in categorical]),
-        ]
-        parts += [f"{c}_ohe" for c in categorical]
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
-    return Pipeline(stages=stages)
+    unknown = "error" if order == "alphabetDesc" else "keep"
+    coding, vectors = _coded(categorical, [f"{c}_f" for c in categorical], order, unknown)
+    return Pipeline(stages=stages + coding + _joined([*parts, *vectors], "features"))
 
 
 def feature_names(transformed: DataFrame, column: str = "features", numeric: Sequence[str] = ()) -> list[str]:
@@ -112,7 +105,7 @@ def feature_names(transformed: DataFrame, column: str = "features", numeric: Seq
         name = names.get(i)
         if i < len(numeric):
             name = numeric[i]
-        out.append((name or f"feature_{i}").replace("_ohe_", "=").replace("_f=", "="))
+        out.append((name or f"feature_{i}").replace("_hot_", "=").replace("_f=", "="))
     return out
 
 

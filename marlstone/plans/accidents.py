@@ -17,10 +17,10 @@ def prepare(spark: SparkSession, path: str, approximate: bool = True) -> DataFra
 def dashboard_tables(df: DataFrame) -> dict[str, DataFrame]:
     """The exploration extracts by name; each is one aggregate over the prepared table."""
     return {
-        "eda_city_severity": explore.hotspots(df),
-        "eda_hour_dow": explore.day_hour_counts(df),
-        "eda_cause_severity": explore.cause_severity_counts(df),
+        "eda_city_severity": explore.grouped_summary(df, **explore.SUMMARIES["hotspots"]),
+        "eda_hour_dow": explore.grouped_summary(df, **explore.SUMMARIES["day_hour"]),
+        "eda_cause_severity": explore.grouped_summary(df, **explore.SUMMARIES["cause_severity"]),
         "hour_day_heatmap": dashboard.hour_day_heatmap(df),
         "city_severity": dashboard.city_severity(df),
-        "risk_by_severity": explore.risk_by_severity(df),
+        "risk_by_severity": explore.grouped_summary(df, **explore.SUMMARIES["risk_by_severity"]),
     }
