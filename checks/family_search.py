@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.views import table, view, with_views
 from marlstone.functions import fixed, text
-from marlstone.operators import search
+from marlstone.operators import corpus, search
 
 QUERY = "the hand nder shre tion ing tion"
 TERMS = ["inen", "thing", "tion", "inen", "hand", "oues"]
@@ -67,6 +67,9 @@ QUERIES = {
         ), "the hand", "http://pub.example.org/en/persons/?search="
     ).select("doc_id", F.md5("abstract_html").alias("abstract_html"), "authors_html", F.array_join("profiles", " ").alias("profiles")),
     "x14_feed_text": lambda s, d: publications(s, d).select("doc_id", text.feed_text("title", "author").alias("text")),
+    "x16_json_round_trip": lambda s, d: corpus.from_json_text(
+        corpus.to_json_text(table(s, d, "events"), ["event_id", "event_type"]), "event_id bigint, event_type string"
+    ),
     "x16_json_fields": lambda s, d: table(s, d, "events").select(
         "event_id", F.from_json("props", "k bigint")["k"].alias("k"), F.get_json_object("props", "$.k").alias("k_text"),
         F.to_json(F.struct("event_type", "user_id")).alias("record"),
@@ -136,6 +139,7 @@ ORACLES = {
         "author AS authors_html, concat('http://pub.example.org/en/persons/?search=', author) AS profiles FROM publications", "publications"
     ),
     "x14_feed_text": with_views("SELECT doc_id, trim(concat(trim(title), '. ', trim(author))) AS text FROM publications", "publications"),
+    "x16_json_round_trip": "SELECT event_id, event_type FROM events",
     "x16_json_fields": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text, "
     "CAST(json_object('event_type', event_type, 'user_id', user_id) AS VARCHAR) AS record FROM events",
 }

@@ -82,10 +82,6 @@ SELECT doc_id, doc_id AS seq, concat('http://pub.example.org/en/publications/',
 FROM {documents}
 """
 
-TEXTS = """
-SELECT d.doc_id, d.text, CAST(l.quality AS VARCHAR(1)) AS label FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
-"""
-
 _USED = {
     "incidents": (INCIDENTS, ("events", "customer", "nation", "region")),
     "vehicles": (VEHICLES, ("orders",)),
@@ -93,7 +89,6 @@ _USED = {
     "signals": (SIGNALS, ("lineitem", "part")),
     "scored": (SCORED, ("events",)),
     "publications": (PUBLICATIONS, ("documents",)),
-    "texts": (TEXTS, ("documents", "labels")),
 }
 
 

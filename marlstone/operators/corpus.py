@@ -177,10 +177,6 @@ def crawlable_links(links: DataFrame, seed_url: str | None = None, url: str = "u
     return rows
 
 
-def publication_links(links: DataFrame, url: str = "url") -> DataFrame:
-    return links.filter(F.col(url).rlike("/en/publications/"))
-
-
 def newest(urls: DataFrame, n: int = 1000, position: str = "pos") -> DataFrame:
     """The last ``n`` of an ordered list."""
     return urls.orderBy(F.desc(position)).limit(n)
@@ -223,7 +219,7 @@ def augment(pubs: DataFrame, n: int, seed: int | str = 42, key: str = KEY) -> Da
     return numbered.join(draws, "_n").select("copy", *[changed.get(c, F.col(c)).alias(c) for c in pubs.columns])
 
 
-def tag_values(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+def to_json_text(records: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Records as JSON text, and back: see :func:`from_json_text`."""
     return records.select(F.to_json(F.struct(*columns)).alias("json"))
 

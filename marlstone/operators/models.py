@@ -444,7 +444,3 @@ def priority_table(bundle: Bundle, model, threshold: float, key: str) -> DataFra
     """Every row with split, probability, band, threshold, prediction and actual, most urgent first."""
     rows = scored(model, bundle.data).select(F.col(key).alias("row_id"), "data_split", "y", "p")
     return metrics.priority_list(rows, threshold)
-
-
-def probability_column(vector: Column | str = "probability") -> Column:
-    return vector_to_array(vector)[1]
