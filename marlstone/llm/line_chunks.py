@@ -53,13 +53,41 @@ def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     return ends.withColumn("chunks", found).drop("_h", "_x", "_e")
 
 
-def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pairs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``chunks`` as above, where every line and the next one are a chunk: they overlap."""
+    hashed = docs.withColumn("_x", F.transform(lines_of(F.col(text)), lambda x: F.xxhash64(x)))
+    both = F.zip_with("_x", F.slice("_x", F.lit(2), F.size("_x")), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+    found = F.transform(both, lambda h, i: F.struct((i + 1).alias("start"), F.lit(2).alias("n"), h.alias("hash")))
+    return hashed.withColumn("chunks", F.filter(found, lambda c: c["hash"].isNotNull())).drop("_x")
+
+
+def _joined(marks: Column) -> Column:
+    """Sorted (start, n) with those that overlap made one."""
+    none = F.expr("cast(array() AS array<struct<start:int,n:int>>)")
+
+    def add(acc: Column, m: Column) -> Column:
+        last = F.element_at(acc, -1)
+        end = F.greatest(last["start"] + last["n"], m["start"] + m["n"])
+        longer = F.struct(last["start"].alias("start"), (end - last["start"]).alias("n"))
+        return F.when((F.size(acc) > 0) & (m["start"] < last["start"] + last["n"]), F.concat(
+            F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(m)))
+
+    return F.aggregate(marks, none, add)
+
+
+def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", every_pair: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``row`` (all its columns), n_lines, removed (first line and lines of each chunk), clean.
 
     A chunk of two lines or more that occurs elsewhere in the corpus stays at its first place (smallest key,
     then first in the text) and is removed at the others, after its bytes were compared with the first place's.
     ``clean`` is the text without them.
 
+    Borders set by the rolling hash depend on ``SEEN`` lines, so a short repeated passage inside different
+    texts mostly shares no whole chunk with its other places. With ``every_pair`` each pair of neighbouring
+    lines is a chunk instead, so every repeated run of two lines or more goes, whatever surrounds it, and with
+    it all that the rolling hash finds; ``removed`` then holds runs. Every line stays at its first place.
+    Only a line repeated without a repeated neighbour stays everywhere.
+
     Chunks travel as hashes and places first; counts are aggregated before they are shuffled. Only documents
     with a repeated chunk show its bytes, and only to the first place of the same hash. Joins are by document
     or by hash with one row a hash on one side, so adaptive execution splits a hot chunk. Equal chunks cost a
@@ -72,7 +100,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("part"), F.struct(
         *[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = chunks(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("part"), F.col(text).alias("text")))
+    found = (pairs if every_pair else chunks)(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("part"), F.col(text).alias("text")))
     # The outer form: the plain one would add a filter on "chunks" that works out the whole array once more per line.
     found = found.select("key", "part", F.explode_outer("chunks").alias("c")).select("key", "part", "c.*")
     found = cut(found.where("n IS NOT NULL"))
@@ -96,7 +124,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     gone = gone.groupBy("key", "part").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("removed"))
 
     out = same(rows, gone, "left").withColumn("_lines", lines_of(F.col("row")[text]))
-    removed = F.coalesce("removed", F.expr("cast(array() AS array<struct<start:int,n:int>>)"))
+    removed = F.coalesce(_joined(F.col("removed")) if every_pair else "removed", F.expr("cast(array() AS array<struct<start:int,n:int>>)"))
     out = out.withColumn("removed", removed)
 
     def gap(k: Column) -> Column:
@@ -110,14 +138,23 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.select("row", count.cast("long").alias("n_lines"), "removed", clean.alias("clean"))
 
 
-def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _summary(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["n"])
-    return remove_repeated(docs).select(
+    return remove_repeated(docs, **settings).select(
         "row.doc_id", "n_lines", F.size("removed").cast("long").alias("removed_chunks"), gone.alias("removed_lines"),
         F.md5("clean").alias("clean_md5"))
 
 
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(spark, sf_dir)
+
+
+def op6b_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op6_line_chunks``, whose SQL fixes the borders of the rolling hash, with every repeated run of lines."""
+    return _summary(spark, sf_dir, every_pair=True)
+
+
 OP6_SQL = """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 h AS (SELECT *, CAST('0x' || substr(md5(l), 1, 8) AS BIGINT) AS h FROM l),

@@ -11,6 +11,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op5_source_mix": mixing.op5_source_mix,
     "op6_line_chunks": line_chunks.op6_line_chunks,
+    "op6b_repeated_passages": line_chunks.op6b_repeated_passages,
     "op7_fm_index_decontamination": fm_index.op7_fm_index_decontamination,
     "op8_quality": quality.op8_quality,
     "op9_toxicity": toxicity.op9_toxicity,

@@ -192,6 +192,51 @@ def test_line_chunks_match_brute_force(docs):
     assert any(r["removed"] for r in got)
 
 
+def brute_pairs(data):
+    met, out = set(), {}
+    for r in sorted(set((r[0] if r[0] is not None else -1, r[1]) for r in data if r[1] is not None)):
+        lines, gone = r[1].split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            if pair in met:
+                gone |= {i, i + 1}
+            met.add(pair)
+        out[r] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+def test_every_repeated_passage_goes(spark):
+    own = iter(range(10_000))
+    other = lambda n: [f"own line {next(own)}" for _ in range(n)]
+    data, passages = [], []
+    for n in range(2, 9):
+        for m in range(4):
+            passage = [f"passage {n} {m} line {i} " + "word " * 30 for i in range(n)]
+            passages.append(passage)
+            data += [(len(data), "\n".join(other(3) + passage + other(2))), (len(data) + 1, "\n".join(other(1 + m) + passage + other(4)))]
+    data += [(len(data), "\n".join(passages[-1][2:5] + other(1))), (len(data) + 1, "a\na\na\na"), (len(data) + 2, "a\na"), (None, "\n".join(passages[9]))]
+    data += [(len(data), None), (len(data) + 1, ""), data[4]]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    got = line_chunks.remove_repeated(docs, every_pair=True).collect()
+    want = brute_pairs(data)
+    assert len(got) == len(data)
+    lines = set()
+    for r in got:
+        k, text = r["row"]
+        assert r["clean"] == (None if text is None else want[-1 if k is None else k, text])
+        lines |= set((r["clean"] or "").split("\n"))
+        assert all(a["start"] + a["n"] <= b["start"] for a, b in zip(r["removed"], r["removed"][1:]))
+    assert lines >= {x for _, text in data if text is not None for x in text.split("\n")}
+    for passage in passages:
+        assert len({r["row"] for r in got if passage[0] in (r["clean"] or "")}) == 1
+
+
+def test_every_pair_takes_all_that_chunks_take(docs):
+    few = {(r["row"]["doc_id"], r["row"]["text"]): r["clean"] for r in line_chunks.remove_repeated(docs).collect()}
+    for r in line_chunks.remove_repeated(docs, every_pair=True).collect():
+        if r["clean"] is not None:
+            assert not Counter(r["clean"].split("\n")) - Counter(few[r["row"]["doc_id"], r["row"]["text"]].split("\n"))
+
+
 # --- token files
 
 def tokenizer_path():
