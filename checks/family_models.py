@@ -153,7 +153,7 @@ QUERIES = {
     ),
     "m31_tfidf": lambda s, d: _tfidf(s, d).select("doc_id", "term", "tf", F.round("weight", 9).alias("weight")),
     "m32_m33_naive_bayes": lambda s, d: textclass.naive_bayes_holdout(texts(s, d)).select("doc_id", "label", "prediction", F.round("score", 6).alias("score")),
-    "m34_classifier_comparison": lambda s, d: textclass.compare_classifiers(texts(s, d), vocabulary=2000, trees=5, iterations=10),
+    "m34_classifier_comparison": lambda s, d: textclass.compare_classifiers(texts(s, d)),
 }
 
 
