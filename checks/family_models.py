@@ -1,4 +1,4 @@
-"""Fitted models at small settings, and the parts of them that SQL can check."""
+"""Fitted models, and the parts of them that SQL can check."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from checks import family_clean
 from checks.views import table, view, with_views
 from marlstone.functions import fixed
 from marlstone.operators import clean, dashboard, features, inference, metrics, models, split, textclass
+from marlstone.session import settle
 
 SEVERITY = (("weather", "visibility", "road_type", "cause"), ("risk_score", "hour"))
 RISK = (("weather", "road_type", "accident_severity"), ("temperature", "hour"))
@@ -22,20 +23,20 @@ def accidents(s, d):
 
 
 def _forest(s, d):
-    data, names = models.labelled(accidents(s, d))
+    data, names = models.labelled(settle(accidents(s, d)))
     train, test = split.bernoulli_split(data, "accident_id", "accident_severity")
-    fitted = models.severity_pipeline(*SEVERITY, numTrees=8, maxDepth=5).fit(train)
+    fitted = models.severity_pipeline(*SEVERITY).fit(train)
     return fitted, fitted.transform(test), names
 
 
 def _tuned(s, d):
-    data, _ = models.labelled(accidents(s, d))
-    return models.tune_forest(data, models.severity_pipeline(*SEVERITY), (4, 8), (3,), folds=2)[1]
+    data, _ = models.labelled(settle(accidents(s, d)))
+    return models.tune_forest(data, models.severity_pipeline(*SEVERITY))[1]
 
 
 def _boosted(s, d):
-    train, test = split.random_split(accidents(s, d), "accident_id")
-    fitted = models.risk_pipeline(*RISK, iterations=5, depth=4).fit(train)
+    train, test = split.random_split(settle(accidents(s, d)), "accident_id")
+    fitted = models.risk_pipeline(*RISK).fit(train)
     return fitted, fitted.transform(test)
 
 
@@ -143,8 +144,8 @@ QUERIES = {
     "m20_tuned_summary": lambda s, d: models.tuned_summary(_all_metrics(s, d)),
     "m22_l2_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l2"),
     "m23_l1_sweep": lambda s, d: models.sweep_strengths(_bundle(s, d, "engineered_full_lr"), "l1"),
-    "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, "leakage_aware_lr")], (15,))),
-    "m25_grid_search": lambda s, d: models.grid_search(_bundle(s, d, "leakage_aware_lr"), "vid", (1.0,), ("l1", "l2"), ("balanced",), folds=2),
+    "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, name) for name in features.bundles()])),
+    "m25_grid_search": lambda s, d: models.grid_search(_bundle(s, d, "leakage_aware_lr"), "vid"),
     "m26_priority_table": _priority,
     "m28_m29_odds_ratios": lambda s, d: inference.odds_ratios(s, _logit(s, d)),
     "m30_goodness_of_fit": lambda s, d: inference.goodness_of_fit(s, [_logit(s, d, name) for name in features.bundles()]),

@@ -5,7 +5,8 @@ Fits and transforms run on the executors; the driver sees coefficients, importan
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -135,13 +136,10 @@ def labelled(df: DataFrame, target: str = "accident_severity") -> tuple[DataFram
 
 
 def tune_forest(
-    train: DataFrame, pipeline: Pipeline, trees: Sequence[int] = (50, 100), depths: Sequence[int] = (8, 12),
-    folds: int = 3, parallelism: int = 2, seed: int = 42,
+    train: DataFrame, pipeline: Pipeline, trees: Sequence[int] = (50, 100, 200), depths: Sequence[int] = (5, 10, 15),
+    folds: int = 5, parallelism: int = 2, seed: int = 42,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Cross-validated search by weighted F1: the best model and the table of candidates.
-
-    The full grid is trees (50, 100, 200), depths (5, 10, 15) and 5 folds.
-    """
+    """Cross-validated search by weighted F1: the best model and the table of candidates."""
     forest = pipeline.getStages()[-1]
     grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths)).build()
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
@@ -368,17 +366,33 @@ def selected_features(bundle: Bundle, c: float, penalty: str = "l1") -> DataFram
     return coefficient_table(bundle.data, bundle.names, model.coefficients).filter("abs_coefficient > 1e-8")
 
 
-def eliminate(bundle: Bundle, size: int, share: float = 0.20) -> list[int]:
-    """Slots left by recursive elimination: each round drops the weakest 20% of the first count."""
-    left = list(range(len(bundle.names)))
+def _at_once(jobs: Sequence[Callable[[], object]], parallelism: int = 4) -> list:
+    """Results of the jobs in their order, at most ``parallelism`` of them running."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+def eliminations(bundle: Bundle, sizes: Sequence[int], share: float = 0.20) -> dict[int, list[int]]:
+    """Slots left by recursive elimination for each size: each round drops the weakest 20% of the first count.
+
+    The sizes share the rounds, as only the last round of each drops fewer.
+    """
+    left, out = list(range(len(bundle.names))), {}
     per_round = max(1, int(share * len(left)))
     train = bundle.part("train")
-    while len(left) > size:
+    out.update({size: left for size in sizes if size >= len(left)})
+    while len(out) < len(set(sizes)):
         weights = logistic(_sliced(train, left), features_col="kept").coefficients.toArray()
-        drop = min(per_round, len(left) - size)
-        weakest = sorted(range(len(left)), key=lambda i: (weights[i] ** 2, i))[:drop]
-        left = [slot for i, slot in enumerate(left) if i not in set(weakest)]
-    return left
+        ranked = sorted(range(len(left)), key=lambda i: (weights[i] ** 2, i))
+        without = lambda n: [left[i] for i in sorted(ranked[n:])]
+        out.update({size: without(len(left) - size) for size in sizes if len(left) - per_round <= size < len(left)})
+        left = without(min(per_round, len(left)))
+    return out
+
+
+def eliminate(bundle: Bundle, size: int, share: float = 0.20) -> list[int]:
+    """Slots left by recursive elimination down to ``size``."""
+    return eliminations(bundle, [size], share)[size]
 
 
 def _sliced(df: DataFrame, slots: Sequence[int]) -> DataFrame:
@@ -387,20 +401,21 @@ def _sliced(df: DataFrame, slots: Sequence[int]) -> DataFrame:
 
 def elimination_table(bundles: Sequence[Bundle], sizes: Sequence[int] = fixed.ELIMINATION_SIZES) -> DataFrame:
     """Validation metrics at the tuned threshold per bundle and feature count, all features included."""
-    out = None
-    for bundle in bundles:
+    def one(bundle: Bundle, size: int, slots: list[int]):
         total = len(bundle.names)
-        for size in sorted({s for s in sizes if s <= total} | {total}):
-            slots = eliminate(bundle, size)
-            model = logistic(_sliced(bundle.part("train"), slots), features_col="kept")
-            rows = scored(model, _sliced(bundle.part("validation"), slots))
-            threshold = metrics.best_threshold(metrics.threshold_table(rows)).first()["threshold"]
-            one = metrics.binary_metrics(rows, threshold).select(
-                F.lit(bundle.name).alias("bundle"), F.lit(size).alias("selected_transformed_features"),
-                F.lit(total).alias("total_transformed_features"), F.lit(size / total).alias("feature_fraction"), "*",
-            )
-            out = one if out is None else out.unionByName(one)
-    return out
+        model = logistic(_sliced(bundle.part("train"), slots), features_col="kept")
+        rows = scored(model, _sliced(bundle.part("validation"), slots))
+        threshold = metrics.best_threshold(metrics.threshold_table(rows)).first()["threshold"]
+        table = metrics.binary_metrics(rows, threshold).select(
+            F.lit(bundle.name).alias("bundle"), F.lit(size).alias("selected_transformed_features"),
+            F.lit(total).alias("total_transformed_features"), F.lit(size / total).alias("feature_fraction"), "*",
+        )
+        return table.first(), table.schema
+
+    wanted = [sorted({s for s in sizes if s <= len(b.names)} | {len(b.names)}) for b in bundles]
+    slots = _at_once([lambda b=b, w=w: eliminations(b, w) for b, w in zip(bundles, wanted)])
+    found = _at_once([lambda b=b, n=n, s=s: one(b, n, s[n]) for b, w, s in zip(bundles, wanted, slots) for n in w])
+    return bundles[0].data.sparkSession.createDataFrame([row for row, _ in found], found[0][1])
 
 
 ELIMINATION_ORDER = ("f1", "roc_auc", "precision", "recall")
@@ -421,18 +436,17 @@ def grid_search(
 
     Folds are stratified and exact; the table is ranked by mean F1, ties sharing a rank.
     """
-    folded = split.stratified_folds(bundle.part("train"), key, "y", folds, seed)
-    out = None
-    for penalty in penalties:
-        for c in strengths:
-            for weight in weights:
-                for k in range(folds):
-                    model = logistic(folded.filter(F.col("fold") != k), c, penalty, weight == "balanced")
-                    one = metrics.binary_metrics(scored(model, folded.filter(F.col("fold") == k))).select(
-                        F.lit(penalty).alias("penalty"), F.lit(float(c)).alias("C"),
-                        F.lit(weight or "None").alias("class_weight"), "f1", "precision", "recall", "roc_auc",
-                    )
-                    out = one if out is None else out.unionByName(one)
+    folded = settle(split.stratified_folds(bundle.part("train"), key, "y", folds, seed))
+
+    def one(penalty: str, c: float, weight: str | None, k: int) -> tuple:
+        model = logistic(folded.filter(F.col("fold") != k), c, penalty, weight == "balanced")
+        m = metrics.binary_metrics(scored(model, folded.filter(F.col("fold") == k))).first()
+        return penalty, float(c), weight or "None", m["f1"], m["precision"], m["recall"], m["roc_auc"]
+
+    rows = _at_once([
+        lambda a=(p, c, w, k): one(*a) for p in penalties for c in strengths for w in weights for k in range(folds)])
+    out = folded.sparkSession.createDataFrame(
+        rows, "penalty string, C double, class_weight string, f1 double, precision double, recall double, roc_auc double")
     table = out.groupBy("penalty", "C", "class_weight").agg(
         F.avg("f1").alias("cv_mean_f1"), F.stddev_pop("f1").alias("cv_std_f1"), F.avg("precision").alias("cv_mean_precision"),
         F.avg("recall").alias("cv_mean_recall"), F.avg("roc_auc").alias("cv_mean_roc_auc"),
