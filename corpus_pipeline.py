@@ -34,9 +34,12 @@ def small_batches(stage):
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or without a letter) go; ``lang`` is the one told by the text.
 
-    The network learns from documents whose crc32(doc_id) mod 4 is not 2, as the query does.
+    The network learns from documents whose crc32(doc_id) mod 4 is not 2, as the query does. Where none of
+    these has a language nothing can be told, and ``lang`` stays as it was.
     """
     model = language.fit(docs.where(remainder("doc_id", 4) != 2))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     told = language.identify(docs, model).where("lang_pred <> 'und'")
     return told.select("row.*", "lang_pred").select(
         *[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

@@ -101,6 +101,15 @@ def test_stages_take_odd_rows(spark, folder, monkeypatch):
         assert docs.count() > 0
 
 
+def test_language_stage_without_labels_keeps_documents(spark, folder):
+    data = [(k, t, lang, "s", None) for k, (t, lang) in enumerate([("One two", None), ("", None), (None, None), ("12 %", None), ("drei", None)])]
+    own = next(k for k in range(100, 200) if zlib.crc32(str(k).encode()) % 4 == 2)
+    data.append((own, "held out", "aa", "s", None))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, folder).collect()}
+    assert got == {0: None, 4: None, own: "aa"}
+
+
 def test_every_operator_is_registered():
     names = list(entry.queries())
     for n in range(1, 11):
