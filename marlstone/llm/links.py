@@ -4,19 +4,29 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and its lineage cut, by a checkpoint in the folder the cluster names.
+def shared_base(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only where no ``spark.checkpoint.dir`` is set (tests, one machine) a temporary folder is used.
+    A temporary folder takes its place where none is named and the master is local; elsewhere that is an error.
     """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="marlstone-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and its lineage cut, by a checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="marlstone-"))
+        context.setCheckpointDir(shared_base(df.sparkSession))
     return df.checkpoint()
 
 

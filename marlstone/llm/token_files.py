@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marlstone.llm.links import shared_base
 from marlstone.llm.texts import hashes, slices
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -353,11 +354,8 @@ def _read_blocks(names):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one; a temporary folder only where none is named."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{(base or tempfile.mkdtemp(prefix='marlstone-')).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared one."""
+    return f"{shared_base(spark)}/tokens-{uuid.uuid4().hex}"
 
 
 def token_digest(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
