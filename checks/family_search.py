@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.views import table, view, with_views
+from checks.views import sql_view, table, view, with_views
 from marlstone.functions import fixed, text
 from marlstone.operators import corpus, search
 
@@ -123,9 +123,9 @@ ORACLES = {
     "j4_j5_attach_statistics": f"WITH {_index()} SELECT p.doc_id, p.term, p.tf, p.dl, round(t.idf, 9) AS idf FROM post p JOIN terms t ON t.term = p.term WHERE p.term IN ({', '.join(repr(t) for t in TERMS)})",
     "j3_rk3_bm25_scores": _ranked(TERMS, 1) + "SELECT doc_id, round(score, 6) AS score FROM scores",
     "j6_sl1_rk4_search": _ranked(TERMS, 10)
-    + "SELECT round(score, 4) AS score, d.doc_id, substr(text, 1, 60) AS title, CAST(2010 + d.doc_id % 17 AS VARCHAR) AS year, source AS author, lang AS organisation FROM best JOIN documents d ON d.doc_id = best.doc_id",
+    + f"SELECT round(score, 4) AS score, d.doc_id, title, year, author, organisation FROM best JOIN ({sql_view('publications')}) d ON d.doc_id = best.doc_id",
     "j7_pf14_search_in_organisation": _ranked(TERMS, 15, "WHERE p.doc_id IN (SELECT doc_id FROM documents WHERE lang = 'de')")
-    + "SELECT round(score, 4) AS score, d.doc_id, lang AS organisation FROM best JOIN documents d ON d.doc_id = best.doc_id",
+    + f"SELECT round(score, 4) AS score, d.doc_id, organisation FROM best JOIN ({sql_view('publications')}) d ON d.doc_id = best.doc_id",
     "rk4_search_many": f"WITH {_index()}, q AS (SELECT item_id, unnest({_BATCH_TERMS}) AS term FROM benchmark), "
     f"scores AS (SELECT item_id, p.doc_id, round(sum({_PART}), 9) AS score FROM q JOIN post p ON p.term = q.term JOIN terms t ON t.term = q.term, n GROUP BY 1, 2) "
     "SELECT item_id AS query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 10",
