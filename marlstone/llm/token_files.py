@@ -21,7 +21,7 @@ END = 0
 #: Ids of a coded block, at most one document more.
 BLOCK_IDS = 1 << 18
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 21
 #: Bytes of text in a file part, which is one task's work.
 PART_BYTES = 24 << 20
 
@@ -74,7 +74,7 @@ class Pieces:
     A text is cut before a single space between two characters that are no white space. The tokenizer
     splits words there too, with the space going to the following word, so pieces encode alike alone and
     within the text. Ids of pieces met before are taken from memory, others from the tokenizer. When the
-    memory is full it is emptied.
+    memory is full its older half goes.
     """
 
     def __init__(self, path: str):
@@ -82,15 +82,13 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(names.values()) + 1, bool)
+        size = max(names.values()) + 1
+        self.spaced = np.zeros(size, bool)
         self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True
-        self.forget()
-
-    def forget(self) -> None:
-        none = np.zeros(0, np.int64)
-        self.levels = [(none.astype(np.uint64), none), (none.astype(np.uint64), none)]  # hashes, slots: many and recent
-        self.count = self.used = 0
-        self.at, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
+        self.levels = [_NONE, _NONE]  # sorted hashes and their slots: many and recent
+        self.count = 0  # slots in use; slot k has the ids from at[k] to at[k + 1]
+        self.at = np.zeros(1 << 16, np.int32)
+        self.ids = np.zeros(1 << 18, np.uint16 if size <= 1 << 16 else np.uint32)
 
     @staticmethod
     def of(path: str) -> "Pieces":
@@ -98,6 +96,16 @@ class Pieces:
             _workers[path] = Pieces(path)
         return _workers[path]
 
+    def forget_half(self) -> None:
+        """Drop the older half of the slots."""
+        old = self.count // 2
+        begin = int(self.at[old])
+        used = int(self.at[self.count])
+        self.ids[:used - begin] = self.ids[begin:used].copy()
+        self.count -= old
+        self.at[:self.count + 1] = self.at[old:old + self.count + 1] - begin
+        self.levels = [(names[slots >= old], slots[slots >= old] - np.int32(old)) for names, slots in self.levels]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a slice, one after another, and where each row starts (rows + 1)."""
         n = len(data)
@@ -114,22 +122,21 @@ class Pieces:
         distinct, first, which = np.unique(
             hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
         if self.count > REMEMBERED:
-            self.forget()
+            self.forget_half()
         slot = self._slots(distinct)
         fresh = slot < 0
         if fresh.any():
             a, b = starts[first[fresh]], ends[first[fresh]]
-            raw = data.tobytes()
-            pieces = [raw[x:y].decode() for x, y in zip(a.tolist(), b.tolist())]
             inner = np.concatenate([[0], np.cumsum(data == 0x20)])
             plain = (b - a > 1) & (data[a] == 0x20) & (inner[b] - inner[a] == 1) & closing[b - 1]
             plain[b - a > 1] &= opening[a[b - a > 1] + 1]
-            slot[fresh] = self._learn(distinct[fresh], pieces, plain)
+            slot[fresh] = self._learn(distinct[fresh], data, a, b, plain)
         slot = slot[which]
-        length = self.at[slot + 1] - self.at[slot]
+        begin = self.at[slot].astype(np.int64)
+        length = self.at[slot + 1] - begin
         total = np.zeros(len(length) + 1, np.int64)
         np.cumsum(length, out=total[1:])
-        index = np.repeat(self.at[slot] - total[:-1], length) + np.arange(int(total[-1]))
+        index = np.repeat(begin - total[:-1], length) + np.arange(int(total[-1]))
         return self.ids[index], total[np.searchsorted(starts, offsets)]
 
     def _slots(self, names: np.ndarray) -> np.ndarray:
@@ -141,47 +148,59 @@ class Pieces:
                 slot[same] = slots[place[same]]
         return slot
 
-    def _learn(self, names: np.ndarray, pieces: list[str], plain: np.ndarray) -> np.ndarray:
-        """Slots of new pieces. Plain ones (one space, in front) share a call's text: a token that starts
-        with a space starts a piece."""
-        found: list = [None] * len(pieces)
-        joined = np.flatnonzero(plain).tolist()
-        groups = [joined[k:k + _JOINED] for k in range(0, len(joined), _JOINED)]
-        single = np.flatnonzero(~plain).tolist()
-        for group, out in zip(groups, self._call(["".join([pieces[k] for k in g]) for g in groups])):
-            out = np.array(out, np.uint32)
+    def _learn(self, names: np.ndarray, data: np.ndarray, a: np.ndarray, b: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """Slots of new pieces, which are the bytes from ``a`` to ``b``. Plain ones (one space, in front) share a
+        call's text: a token that starts with a space starts a piece."""
+        joined, single = np.flatnonzero(plain), np.flatnonzero(~plain)
+        size = (b - a)[joined]
+        ends = np.cumsum(size)
+        text = data[np.repeat(a[joined] - ends + size, size) + np.arange(int(size.sum()))].tobytes()
+        bounds = [0, *ends[_JOINED - 1::_JOINED].tolist()]
+        if len(joined) % _JOINED:
+            bounds.append(len(text))
+        order, counts, found = [], [], []
+        groups = (joined[k:k + _JOINED] for k in range(0, len(joined), _JOINED))
+        for group, out in zip(groups, self._call([text[x:y].decode() for x, y in zip(bounds, bounds[1:])])):
             begin = np.flatnonzero(self.spaced[out])
             if len(begin) == len(group) and begin[0] == 0:
-                for k, x in zip(group, np.split(out, begin[1:])):
-                    found[k] = x
+                order.append(group)
+                counts.append(np.diff(begin, append=len(out)))
+                found.append(out)
             else:
-                single += group
-        for k, x in zip(single, self._call([pieces[k] for k in single])):
-            found[k] = np.array(x, np.uint32)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        new = int(counts.sum())
-        while self.used + new > len(self.ids):
+                single = np.concatenate([single, group])
+        if len(single):
+            alone = self._call([data[x:y].tobytes().decode() for x, y in zip(a[single].tolist(), b[single].tolist())])
+            order.append(single)
+            counts.append(np.fromiter(map(len, alone), np.int64, len(alone)))
+            found += alone
+        used, new = int(self.at[self.count]), sum(map(len, found))
+        while used + new > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.count + len(names) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        self.ids[self.used:self.used + new] = np.concatenate(found)
-        slots = self.count + np.arange(len(names))
-        self.at[slots + 1] = self.used + np.cumsum(counts)
-        self.used, self.count = self.used + new, self.count + len(names)
+        self.ids[used:used + new] = np.concatenate(found)
+        slots = np.empty(len(names), np.int32)
+        slots[np.concatenate(order)] = self.count + np.arange(len(names))
+        self.at[self.count + 1:self.count + len(names) + 1] = used + np.cumsum(np.concatenate(counts))
+        self.count += len(names)
         many, recent = self.levels
         recent = _merged(recent, (names, slots))
         if len(recent[0]) > max(1 << 17, len(many[0]) // 4):
-            many, recent = _merged(many, recent), (names[:0], slots[:0])
+            many, recent = _merged(many, recent), _NONE
         self.levels = [many, recent]
         return slots
 
-    def _call(self, texts: list[str]) -> list[list[int]]:
+    def _call(self, texts: list[str]) -> list[np.ndarray]:
         out = []
         for k in range(0, len(texts), 4096):
-            out += [x.ids for x in self.tokenizer.encode_batch_fast(texts[k:k + 4096], add_special_tokens=False)]
+            found = self.tokenizer.encode_batch_fast(texts[k:k + 4096], add_special_tokens=False)
+            out += [np.array(x.ids, self.ids.dtype) for x in found]
         return out
 
 
+_NONE = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+
+
 def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     names, slots = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
     order = np.argsort(names, kind="stable")

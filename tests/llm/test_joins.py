@@ -273,12 +273,17 @@ def test_token_files_match_tokenizer(spark, docs, monkeypatch, tmp_path):
     assert ranks == sorted(counts, key=lambda i: (-counts[i], i))
 
 
-def test_pieces_encode_like_whole_texts():
+@pytest.mark.parametrize("remembered", [1 << 21, 30])
+def test_pieces_encode_like_whole_texts(monkeypatch, remembered):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+
     encoder, pieces = Tokenizer.from_file(tokenizer_path()), token_files.Pieces(tokenizer_path())
     odd = ["a  b\n c <|endoftext|> d\t e", "é è ê　 x  y 's 're it's ", "  lead", "trail  ", "ß ü  zwei", " ", "x\u0085 y\n\nb  c 123 45a !!?? 'll"]
-    for _ in range(2):
+    odd += [" ".join(f"word{i}{'x' * (i % 7)}" for i in range(k, k + 1300)) for k in (0, 700, 5)]
+    for turn in range(4):
+        odd = odd[turn:] + odd[:turn]
         for _, _, data, at in slices(pa.array(odd)):
             ids, place = pieces.encode(data, at)
             for k, text in enumerate(odd):
