@@ -155,9 +155,9 @@ def matches(
 
 def licences(
     docs: DataFrame, phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None,
-    threshold: float = THRESHOLD, text: str = "text",
+    threshold: float = THRESHOLD, text: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
-    """``row`` (the document), ``n_words``, ``places`` (start word, label of each phrase found), ``blocks`` (block, label,
+    """``row`` (the document, or its columns ``keep``), ``n_words``, ``places`` (start word, label of each phrase found), ``blocks`` (block, label,
     containment of each template held) and ``score``: 1 with a place, else the best containment, 0 without any.
 
     Words are ASCII letters and digits and all beyond ASCII, with A-Z lower-cased; a null text is empty and has none.
@@ -168,7 +168,8 @@ def licences(
     templates = TEMPLATES if templates is None else templates
     held = matches(docs, templates, threshold, text).groupBy("digest").agg(F.sort_array(F.collect_set(
         F.struct("block", "label", "containment"))).alias("blocks"))
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("_text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+    base = docs.select(row.alias("row"), F.col(f"`{text}`").alias("_text"))
     base = with_phrases(base, phrases, "_text").withColumn("digest", F.sha2(F.coalesce("_text", F.lit("")), 256)).drop("_text")
     out = base.join(held, "digest", "left").withColumn(
         "blocks", F.coalesce("blocks", F.array().cast("array<struct<block:int,label:string,containment:double>>")))
@@ -182,7 +183,7 @@ def _labels(*lists: Column) -> Column:
 
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = licences(docs)
+    found = licences(docs, keep=["doc_id"])
     starts = F.transform("places", lambda p: p["start"])
     base, own = (F.transform(c, lambda x: x["label"]) for c in ("places", "blocks"))
     return found.select(
