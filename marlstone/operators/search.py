@@ -9,15 +9,21 @@ needs no join on documents.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marlstone.functions import fixed, text
+from marlstone.session import settle
 
-SALTS = 16
+#: Tokens of a shard of the index, documents in a block of a term's postings, and queries that a task answers together.
+SHARD_TOKENS, BLOCK_DOCS, QUERY_BLOCK = 4 << 20, 128, 4096
 
 
 @dataclass
@@ -27,6 +33,9 @@ class Index:
     doc_stats: DataFrame
     term_stats: DataFrame
     stemming: bool = False
+    #: What blocks are dealt from (doc_id, terms), or the blocks themselves, see :func:`deal_blocks`.
+    terms: DataFrame | None = None
+    blocks: DataFrame | None = None
 
 
 def build_documents(publications: DataFrame, seq: str = "seq") -> DataFrame:
@@ -91,16 +100,69 @@ def build_index(
     terms = document_terms(docs, body, key, stemming)
     # Left lazy: a query's term filter then reaches the token rows. Use save_index for many queries.
     rows, lengths = postings(terms), document_lengths(terms)
-    return Index(docs, rows, lengths, term_statistics(rows, lengths), stemming)
+    return Index(docs, rows, lengths, term_statistics(rows, lengths), stemming, terms)
+
+
+def deal_blocks(terms: DataFrame) -> DataFrame:
+    """Postings dealt by document: (shard, term, block, docs, tfs, dls, max_tf, min_dl), of rows with unique ``doc_id``.
+
+    A shard is a stretch of an input partition with about ``SHARD_TOKENS`` tokens, counted where it is read, so
+    nothing is shuffled and no shard grows with the table. A block holds up to ``BLOCK_DOCS`` documents of a
+    term in ascending order, and the highest count and least length among them, which bound the score of its
+    documents whatever the settings. The term '' lists every document of the shard, also those without terms.
+    """
+    kind = terms.select("doc_id").dtypes[0][1]
+    part = F.shiftleft(F.spark_partition_id().cast("bigint"), 24).alias("part")
+    return terms.select(part, "doc_id", "terms").mapInArrow(
+        _dealt, f"shard bigint, term string, block int, docs array<{kind}>, tfs array<bigint>, dls array<bigint>, max_tf bigint, min_dl bigint")
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, tokens, shard = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        tokens += len(batch.column(2).flatten())
+        if tokens >= SHARD_TOKENS:
+            yield from _deal(pa.Table.from_batches(held), shard).to_batches()
+            held, tokens, shard = [], 0, shard + 1
+    if tokens or any(x.num_rows for x in held):
+        yield from _deal(pa.Table.from_batches(held), shard).to_batches()
+
+
+def _deal(table: pa.Table, number: int) -> pa.Table:
+    table = table.take(pc.sort_indices(table["doc_id"])).combine_chunks()
+    docs, dl = table["doc_id"].combine_chunks(), np.array(pc.list_value_length(table["terms"]), np.int64)
+    n, rows = len(dl), np.arange(len(dl))
+    words = pc.list_flatten(table["terms"])
+    words = (words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words).dictionary_encode()
+    names = pa.concat_arrays([words.dictionary, pa.array([""], words.dictionary.type)])
+    code = np.concatenate([np.array(words.indices, np.int64), np.full(n, len(names) - 1)])
+    pair, tf = np.unique(code * n + np.concatenate([np.repeat(rows, dl), rows]), return_counts=True)
+    term, doc = pair // n, pair % n
+    begin = np.flatnonzero(np.diff(term, prepend=-1))
+    place = np.arange(len(term)) - np.repeat(begin, np.diff(begin, append=len(term)))
+    cut = np.flatnonzero(place % BLOCK_DOCS == 0)
+    offsets = pa.array(np.append(cut, len(term)), pa.int32())
+    lists = lambda values: pa.ListArray.from_arrays(offsets, values)
+    length = dl[doc]
+    return pa.table({
+        "shard": pa.array(np.full(len(cut), table["part"][0].as_py() + number), pa.int64()),
+        "term": names.take(pa.array(term[cut])), "block": pa.array(place[cut] // BLOCK_DOCS, pa.int32()),
+        "docs": lists(docs.take(pa.array(doc))), "tfs": lists(pa.array(tf, pa.int64())), "dls": lists(pa.array(length)),
+        "max_tf": pa.array(np.maximum.reduceat(tf, cut), pa.int64()), "min_dl": pa.array(np.minimum.reduceat(length, cut))})
 
 
 def save_index(index: Index, path: str) -> Index:
     """Write the index tables as parquet and return the index over the written tables.
 
     Postings are range-partitioned by (term, doc_id) and sorted, so a term's rows lie together
-    but a frequent term still spans files; a bloom filter on term skips the other files.
+    but a frequent term still spans files; a bloom filter on term skips the other files. Blocks, which
+    serve many queries at once, lie by shard and are sorted by term.
     """
     spark = index.docs.sparkSession
+    blocks = index.blocks if index.blocks is not None else deal_blocks(index.terms)
+    blocks.sortWithinPartitions("term", "shard", "block").write.mode("overwrite").option(
+        "parquet.bloom.filter.enabled#term", "true").parquet(f"{path}/blocks")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
     (
         index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
@@ -122,7 +184,8 @@ def save_index(index: Index, path: str) -> Index:
 def load_index(spark: SparkSession, path: str) -> Index:
     read = lambda name: spark.read.parquet(f"{path}/{name}")
     return Index(
-        read("docs"), read("postings"), read("doc_stats"), read("term_stats"), read("settings").first()["stemming"]
+        read("docs"), read("postings"), read("doc_stats"), read("term_stats"), read("settings").first()["stemming"],
+        blocks=read("blocks"),
     )
 
 
@@ -210,33 +273,104 @@ def search_many(
     query: str = "query",
     k1: float = fixed.BM25_K1,
     b: float = fixed.BM25_B,
-    salts: int = SALTS,
 ) -> DataFrame:
     """The best documents of every query in a table: (query_id, rank, doc_id, score).
 
-    Query terms meet postings on (term, salt): a frequent term's postings are spread over
-    ``salts`` join keys and the few query rows are repeated for each. The number of rows joined
-    is the number of (query term, posting) matches, which is what scoring consists of.
+    Each shard of the index answers each block of queries in one task, which returns ``top_k`` documents a
+    query, so no (query, document) row is ever shuffled: what travels is the blocks of the terms asked for,
+    the queries once a shard, and the shards' best. A saved index brings its blocks; one that is still lazy
+    deals them first, in one pass over the texts. A term's documents are spread over all shards.
     """
-    asked = (
-        queries.select(F.col(key).alias("query_id"), F.explode(text.search_terms(query, index.stemming)).alias("term"))
-        .groupBy("query_id", "term").agg(F.count("*").alias("weight"))
-    )
-    asked = asked.join(index.term_stats.select("term", "idf"), "term")
-    asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = index.postings.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    scored = spread.join(asked, ["term", "salt"]).withColumn(
-        "part", F.col("weight") * _term_score(_average_length(index), k1, b)
-    )
-    totals = scored.filter("part IS NOT NULL").groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
-    totals = totals.withColumn("score", F.round("score", 9))
+    blocks = index.blocks if index.blocks is not None else settle(deal_blocks(index.terms))
+    total = lambda c: F.sum(F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, x: acc + x))
+    shards = blocks.filter("term = ''").groupBy("shard").agg(total("tfs").alias("n"), total("dls").alias("words")).collect()
+    n, words = sum(r["n"] for r in shards), sum(r["words"] for r in shards)  # a row each
+    mean = words / n if words else 1.0
+    groups = max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = queries.select(F.col(key).alias("query_id"), F.explode(text.search_terms(query, index.stemming)).alias("term"))
+    asked = asked.groupBy("query_id", "term").agg(F.count("*").alias("weight"))
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
+    found = blocks.join(asked.select("term", "group").distinct(), "term")
+    if index.blocks is None:
+        df = found.dropDuplicates(["shard", "term", "block"]) if groups > 1 else found
+        rated = df.groupBy("term").agg(idf(F.sum(F.size("docs")), F.lit(n)).alias("idf"))
+    else:
+        rated = index.term_stats.select("term", "idf")
+    every = F.lit(np.array([r["shard"] for r in shards], np.int64))
+    rated = asked.join(rated, "term").select(
+        "query_id", "term", F.col("group").alias("asked_by"), (F.col("weight") * F.col("idf")).alias("gain"),
+        F.explode(every).alias("asked_of"))
+    kinds = dict(asked.select("query_id").dtypes + [("doc_id", blocks.select(F.col("docs")[0].alias("x")).dtypes[0][1])])
+    best = found.groupBy("shard", "group").cogroup(rated.groupBy("asked_of", "asked_by")).applyInArrow(
+        _best_of_shard(top_k, k1, b, mean), f"query_id {kinds['query_id']}, doc_id {kinds['doc_id']}, score double")
+    best = best.withColumn("score", F.round("score", 9))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return (
-        totals.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k)
+        best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k)
         .select("query_id", "rank", "doc_id", F.round("score", 4).alias("score"))
     )
 
 
+def _best_of_shard(top_k: int, k1: float, b: float, mean: float):
+    """The best documents of each query within a shard: query_id, doc_id, score (ties: smaller document).
+
+    A query's terms are taken by falling bound. Once ``top_k`` documents have scores, a block is skipped if
+    none of its documents can reach the least of these with the block's bound and all bounds still to come.
+    """
+    def share(tf, dl):
+        weight = tf + k1 * (1 - b + b * (dl / mean))
+        return tf * (k1 + 1) / np.where(weight == 0, 1.0, weight)
+
+    def run(blocks: pa.Table, asked: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        blocks = blocks.take(pc.sort_indices(blocks, [("term", "ascending"), ("block", "ascending")])).combine_chunks()
+        lists = blocks["docs"].combine_chunks() if blocks.num_rows else pa.array([], blocks.schema.field("docs").type)
+        ends = np.concatenate([[0], np.cumsum(np.array(pc.list_value_length(lists), np.int64))])
+        names = pc.unique(lists.flatten())
+        names = names.take(pc.sort_indices(names))
+        place = np.array(pc.index_in(lists.flatten(), names), np.int64)
+        tf, dl = (np.array(pc.list_flatten(blocks[c]), float) for c in ("tfs", "dls"))
+        top = share(np.array(blocks["max_tf"], float), np.array(blocks["min_dl"], float))
+        ranges = {t: (at, at + n) for at, n, t in _runs(blocks["term"].to_pylist())}
+        wanted = asked.sort_by("query_id").to_pydict()
+        for at, n, name in _runs(wanted["query_id"]):
+            terms = [(gain, *ranges[t]) for t, gain in zip(wanted["term"][at:at + n], wanted["gain"][at:at + n]) if t in ranges]
+            terms = sorted(((gain * top[x:y].max(), gain, x, y) for gain, x, y in terms), reverse=True)
+            rest = sum(bound for bound, *_ in terms)
+            score, least = np.zeros(len(names)), -np.inf
+            for bound, gain, x, y in terms:
+                rest -= bound
+                kept = np.arange(x, y)
+                if least > 0:
+                    edges = np.stack([place[ends[x:y]], place[ends[x + 1:y + 1] - 1] + 1], axis=1).ravel()
+                    reached = np.maximum.reduceat(np.append(score, 0.0), edges)[::2]
+                    kept = kept[reached + gain * top[x:y] + rest >= least - 1e-6]
+                size = ends[kept + 1] - ends[kept]
+                own = np.repeat(ends[kept] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+                score[place[own]] += gain * share(tf[own], dl[own])
+                if len(score) > top_k and np.count_nonzero(score) >= top_k:
+                    least = np.partition(score, -top_k)[-top_k]
+            best = np.flatnonzero((score > 0) & (score >= least - 1e-6))
+            best = best[np.lexsort((best, -np.round(score[best], 9)))][:top_k]
+            out += [(name, int(k), float(score[k])) for k in best]
+        return pa.table({
+            "query_id": pa.array([x[0] for x in out], asked.schema.field("query_id").type),
+            "doc_id": names.take(pa.array([x[1] for x in out], pa.int64())), "score": pa.array([x[2] for x in out], pa.float64())})
+
+    return run
+
+
+def _runs(values: list) -> list[tuple[int, int, object]]:
+    """(start, length, value) of every stretch of equal values."""
+    out: list[tuple[int, int, object]] = []
+    for i, v in enumerate(values):
+        if out and out[-1][2] == v:
+            out[-1] = (out[-1][0], out[-1][1] + 1, v)
+        else:
+            out.append((i, 1, v))
+    return out
+
+
 def present(results: DataFrame, query: str, search_base: str, limit: int = 1000) -> DataFrame:
     """Result cards: highlighted title and shortened abstract, one profile link per author."""
     linked = F.transform(
