@@ -84,10 +84,16 @@ QUERIES = {
     "m47_simple_summary": lambda s, d: (lambda rf: stats.summary(s, rf[1]).select(
         "term", F.round("std_error", 4).alias("std_error"), F.round("r2", 8).alias("r2"), F.round("sigma", 4).alias("sigma")))(_lineitem_fit(s, d)),
     "wn7_autocorrelation": lambda s, d: stats.autocorrelation(table(s, d, "events"), "event_id", "value", block=3000).withColumn("acf", F.round("acf", 6)),
-    "wn10_qq_points": lambda s, d: stats.qq_points(table(s, d, "events"), "value", ["event_id"]).select("event_id", "i", "sample", F.round("position", 9).alias("position")),
+    "wn10_qq_points": lambda s, d: stats.qq_points(table(s, d, "events"), "value", ["event_id"]).select("event_id", "i", "sample", F.round("position", 9).alias("position"), F.round("theoretical", 6).alias("theoretical")),
 }
 
 
+def _ratio(x, above, below):
+    """Two polynomials, highest power first, by powers of ``x``."""
+    power = lambda cs: " + ".join(f"({c!r}::DOUBLE) * pow({x}, {len(cs) - 1 - k})" for k, c in enumerate(cs))
+    return f"(({power(above)}) / ({power(below)}))"
+
+
 def _v(sql, extra=""):
     return with_views(sql, "signals", extra=extra)
 
@@ -119,5 +125,8 @@ ORACLES = {
     "SELECT t.term, round(CASE WHEN t.term = 'x' THEN sqrt(s2 / sxx) ELSE sqrt(s2 * (1.0::DOUBLE / n + m * m / sxx)) END, 4) AS std_error, round(r2, 8) AS r2, round(sqrt(s2), 4) AS sigma FROM (VALUES ('1'), ('x')) t(term), s, v",
     "wn7_autocorrelation": "WITH e AS (SELECT event_id AS id, value - (SELECT avg(value) FROM events) AS e FROM events), t AS (SELECT sum(e * e) AS t, floor(10 * log10(count(*))) AS k FROM e) "
     "SELECT CAST(l.range AS INTEGER) AS lag, round(sum(a.e * b.e) / any_value(t.t), 6) AS acf FROM range(0, 100) l, t, e a, e b WHERE l.range <= t.k AND b.id = a.id - l.range GROUP BY 1",
-    "wn10_qq_points": "SELECT event_id, i, value AS sample, round((i - 0.5::DOUBLE) / n, 9) AS position FROM (SELECT event_id, value, row_number() OVER (ORDER BY value, event_id) AS i, count(*) OVER () AS n FROM events)",
+    "wn10_qq_points": "WITH r AS (SELECT event_id, value, row_number() OVER (ORDER BY value, event_id) AS i, count(*) OVER () AS n FROM events), "
+    "q AS (SELECT event_id, i, value AS sample, (i - 0.5::DOUBLE) / n AS p, p - 0.5 AS c, c * c AS cc, sqrt(-2 * ln(least(p, 1 - p))) AS s FROM r) "
+    f"SELECT event_id, i, sample, round(p, 9) AS position, round(CASE WHEN p BETWEEN 0.02425 AND 1 - 0.02425 THEN c * {_ratio('cc', *stats._CENTRAL)} "
+    f"WHEN p < 0.5 THEN {_ratio('s', *stats._TAIL)} ELSE -{_ratio('s', *stats._TAIL)} END, 6) AS theoretical FROM q",
 }

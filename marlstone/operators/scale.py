@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marlstone.session import settle
+
 BROADCAST_ROWS = 10_000
-RANGES = 1024
 OFFSET_ROWS = 200_000
+#: Rows of an ordered range, and the least number of ranges.
+RANGE_ROWS, LEAST_RANGES = 250_000, 32
 
 
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -67,13 +70,6 @@ def lookup_join(
     )
 
 
-def range_splits(df: DataFrame, column: str, ranges: int = RANGES) -> list[float]:
-    """At most ``ranges - 1`` inner cut points of a numeric column, for balanced ranges."""
-    probs = [i / ranges for i in range(1, ranges)]
-    found = df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probs, 0.5 / ranges)
-    return sorted(set(found))
-
-
 def with_range(df: DataFrame, column: str, splits: Sequence[float], name: str = "_range") -> DataFrame:
     """Add the index of the range each value falls into; equal values share a range."""
     if not splits:
@@ -88,6 +84,29 @@ def with_range(df: DataFrame, column: str, splits: Sequence[float], name: str =
     )
 
 
+def ordered_ranges(
+    df: DataFrame, order: str, ties: Sequence[str] = (), descending: bool = False, partition: Sequence[str] = ()
+) -> DataFrame:
+    """``df`` settled in ranges of the order, sorted within each; ``_range`` is the range and ``_place`` ascends in it.
+
+    Ranges follow ``order`` first and the tie keys within a heavy value, so a value that most rows have is cut
+    like any other, and their number grows with the rows. Nulls of ``order`` come last when ascending and first
+    when descending. Only rows equal in all keys share a range whatever their number.
+    """
+    rows = df.count()
+    ranges = max(LEAST_RANGES, -(-rows // RANGE_ROWS))
+    lead = F.desc_nulls_first(order) if descending else F.asc_nulls_last(order)
+    keys = [*[F.asc(k) for k in partition], lead, *[F.asc(t) for t in ties]]
+    dealt = settle(df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys))
+    place = dealt.withColumn("_place", F.monotonically_increasing_id())
+    return place.withColumn("_range", F.shiftright("_place", 33))
+
+
+def _add_offsets(ranged: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    """``ranged`` with the columns of ``offsets`` (one row per key and range, keys named ``_k_``)."""
+    return ranged.join(offsets, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left")
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -100,35 +119,35 @@ def running_totals(
     """Add running totals over a total order without a single-task window.
 
     ``sums`` maps a value column to the name of its running total (the row included). ``order``
-    is the leading numeric order key; ``ties`` are further ascending keys. ``range_name`` names
+    is the leading order key; ``ties`` are further ascending keys. ``range_name`` names
     an existing column that already cuts the order into ranges, monotone in it; without one,
-    ranges come from approximate quantiles. Each range is summed in its own task, and the totals
+    :func:`ordered_ranges` cuts them. Each range is summed in its own task, and the totals
     of the ranges (one row per range) are added up to give each range its starting value.
     """
-    ranged = df if range_name else with_range(df, order, range_splits(df, order))
+    ranged = df if range_name else ordered_ranges(df, order, ties, descending, partition)
     cut = range_name or "_range"
     direction = F.desc if descending else F.asc
     keys = list(partition)
-    inner = Window.partitionBy(*keys, cut).orderBy(direction(order), *[F.asc(t) for t in ties])
-    before = Window.partitionBy(*keys).orderBy(direction(cut)).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*keys, cut)
+    inner = inner.orderBy(direction(order), *[F.asc(t) for t in ties]) if range_name else inner.orderBy("_place")
+    before = Window.partitionBy(*keys).orderBy(direction(cut) if range_name else F.asc(cut)).rowsBetween(Window.unboundedPreceding, -1)
 
     offsets = ranged.groupBy(*keys, cut).agg(*[F.sum(v).alias(f"_sum_{v}") for v in sums])
     offsets = offsets.select(
         *[F.col(k).alias(f"_k_{k}") for k in [*keys, cut]],
         *[F.coalesce(F.sum(f"_sum_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in sums],
     )
-    # One row per range; with partition keys the number is checked before broadcasting.
-    offsets = broadcast_within(offsets, OFFSET_ROWS) if keys else F.broadcast(offsets)
-    matches = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*keys, cut]]
+    # One row per range, and per key that a range holds; their number is checked before broadcasting.
+    offsets = broadcast_within(offsets, OFFSET_ROWS)
     inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = ranged
     for v, name in sums.items():
         out = out.withColumn(name, F.sum(v).over(inner))
-    out = out.join(offsets, matches, "left")
+    out = _add_offsets(out, offsets, [*keys, cut])
     for v, name in sums.items():
         out = out.withColumn(name, F.col(name) + F.col(f"_off_{v}"))
     extra = [c for c in out.columns if c.startswith("_k_") or c.startswith("_off_")]
-    return out.drop(*extra, *([] if range_name else ["_range"]))
+    return out.drop(*extra, *([] if range_name else ["_range", "_place"]))
 
 
 def number_rows(
@@ -140,11 +159,23 @@ def number_rows(
     partition: Sequence[str] = (),
     range_name: str | None = None,
 ) -> DataFrame:
-    """Row numbers from 1 along a total order, computed range by range."""
-    return running_totals(
-        df.withColumn("_one", F.lit(1).cast("bigint")), order, {"_one": name},
-        descending, ties, partition, range_name,
-    ).drop("_one")
+    """Row numbers from 1 along a total order, computed range by range.
+
+    Without ``range_name`` a row's place within its settled range is known as it is read, so numbering takes
+    the one exchange that deals the ranges.
+    """
+    if range_name:
+        return running_totals(
+            df.withColumn("_one", F.lit(1).cast("bigint")), order, {"_one": name},
+            descending, ties, partition, range_name,
+        ).drop("_one")
+    ranged, keys = ordered_ranges(df, order, ties, descending, partition), [*partition, "_range"]
+    before = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    offsets = counts.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    out = _add_offsets(ranged, broadcast_within(offsets, OFFSET_ROWS), keys)
+    return out.withColumn(name, F.col("_place") + F.col("_shift")).select(*df.columns, name)
 
 
 def hash_order(key: Column | str, seed: int | str, name: str = "_h") -> tuple[Column, Column]:

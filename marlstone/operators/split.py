@@ -48,14 +48,36 @@ def random_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42) ->
     return df.filter(train), df.filter(~train)
 
 
+def _with_cuts(df: DataFrame, key: str, seed: int | str, cuts: dict[str, object], label: str | None = None) -> DataFrame:
+    """``df`` with ``_h`` (the random order) and, for each cut, the hash of its last row in that order.
+
+    ``cuts`` gives the rank of the last row from the count ``_n`` of the class (of all rows without ``label``);
+    rank 0 gives a null. Counts by the hash's first four digits, 65,536 a class, tell in which range a cut
+    falls; only the rows of these ranges are ranked, never the table.
+    """
+    marked = df.withColumn("_h", hash_order(key, seed)[0])
+    keys = [label] if label else []
+    lead = F.substring("_h", 1, 4).alias("_r")
+    counts = marked.groupBy(*keys, lead).agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("_c").over(whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*keys, "_r", "_c", before.alias("_before"), F.sum("_c").over(whole).alias("_n"))
+    places = F.array(*[F.struct(F.lit(c).alias("cut"), (rank(F.col("_n")) - F.col("_before")).alias("rank")) for c, rank in cuts.items()])
+    held = F.filter(places, lambda x: (x["rank"] > 0) & (x["rank"] <= F.col("_c")))
+    held = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_r").alias("_at"), F.explode(held).alias("_cut"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    near = marked.select(*keys, "_h", lead).join(broadcast_within(held), [F.col("_r") == F.col("_at"), *same])
+    order = F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy("_h"))
+    last = near.withColumn("_rank", order).where("_rank = _cut.rank").groupBy(
+        *[F.col(k).alias(f"_k_{k}") for k in keys]
+    ).agg(*[F.max(F.when(F.col("_cut.cut") == c, F.col("_h"))).alias(c) for c in cuts])
+    return marked.join(broadcast_within(last), same, "left").drop(*[f"_k_{k}" for k in keys]) if keys else marked.join(F.broadcast(last))
+
+
 def hashed_split(df: DataFrame, key: str, share: float = 0.7, seed: int | str = 42) -> DataFrame:
-    """Exact random split without strata: ``data_split`` is train or test, by hash order."""
-    h, cut = hash_order(key, seed)
-    ranked = number_rows(df.select("*", h, cut), "_h", "_rank", range_name="_h_range")
-    total = df.agg(F.count("*")).scalar()
-    return ranked.withColumn(
-        "data_split", F.when(F.col("_rank") <= F.floor(total * F.lit(share)), "train").otherwise("test")
-    ).drop("_h", "_h_range", "_rank")
+    """Exact random split without strata: ``data_split`` is train or test, by hash order. ``key`` must be unique."""
+    cut = _with_cuts(df, key, seed, {"_train": lambda n: F.floor(n * F.lit(share))})
+    return cut.withColumn("data_split", F.when(F.col("_h") <= F.col("_train"), "train").otherwise("test")).drop("_h", "_train")
 
 
 def stratified_split(
@@ -65,25 +87,16 @@ def stratified_split(
 
     Per class, the first ``round(test * n)`` rows in hash order are test, the next
     ``round(validation * rest)`` validation. With the defaults 64/16/20. ``key`` must be
-    unique. The order within a class is cut into hash ranges, so that no class, however large,
-    is sorted in one task.
+    unique. A class, however large, is counted by hash ranges and never sorted.
     """
-    h, cut = hash_order(key, seed)
-    ranked = number_rows(df.select("*", h, cut), "_h", "_rank", partition=[label], range_name="_h_range")
-    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"))
-    sizes = broadcast_within(sizes)
-    n_test = F.round(F.col("_n") * test)
-    n_validation = F.round((F.col("_n") - n_test) * validation)
-    return (
-        ranked.join(sizes, F.col(label).eqNullSafe(F.col("_label")), "left")
-        .withColumn(
-            "data_split",
-            F.when(F.col("_rank") <= n_test, "test")
-            .when(F.col("_rank") <= n_test + n_validation, "validation")
-            .otherwise("train"),
-        )
-        .drop("_h", "_h_range", "_rank", "_label", "_n")
-    )
+    def validated(n):
+        return F.round(n * test) + F.round((n - F.round(n * test)) * validation)
+
+    cut = _with_cuts(df, key, seed, {"_test": lambda n: F.round(n * test), "_validation": validated}, label)
+    return cut.withColumn(
+        "data_split",
+        F.when(F.col("_h") <= F.col("_test"), "test").when(F.col("_h") <= F.col("_validation"), "validation").otherwise("train"),
+    ).drop("_h", "_test", "_validation")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed: int | str = 42) -> DataFrame:

@@ -70,3 +70,57 @@ def test_auc_against_pairs(spark):
         tp = sum(y and p >= 0.2 + 0.005 * round((t - 0.2) / 0.005) for _, y, p in rows)
         called = sum(p >= 0.2 + 0.005 * round((t - 0.2) / 0.005) for _, _, p in rows)
         assert abs(table[t]["precision"] - (tp / called if called else 0)) < 1e-12
+
+
+def test_heavy_values_are_cut_by_their_ties(spark):
+    rows = [(i, 7.0 if i % 2 else float(i % 5000), f"g{0 if i % 3 else i % 40}") for i in range(60_000)]
+    rows += [(-1, None, "g0"), (-2, None, None)]
+    df = spark.createDataFrame(rows, "id bigint, v double, g string")
+    for descending in (False, True):
+        ranged = scale.ordered_ranges(df, "v", ["id"], descending)
+        sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+        assert sum(sizes) == len(rows) and max(sizes) < 0.05 * len(rows)
+        key = lambda r: (r[1] is None, r[1] or 0, r[0])
+        down = lambda r: (r[1] is not None, -(r[1] or 0), r[0])
+        want = sorted(rows, key=down if descending else key)
+        got = {r["id"]: r["n"] for r in scale.number_rows(df, "v", "n", descending, ["id"]).collect()}
+        assert got == {r[0]: k + 1 for k, r in enumerate(want)}
+        totals = {r["id"]: r["t"] for r in scale.running_totals(df, "v", {"id": "t"}, descending, ["id"]).collect()}
+        assert totals == dict(zip([r[0] for r in want], np.cumsum([r[0] for r in want]).tolist()))
+    groups: dict = {}
+    for r in sorted(rows, key=key):
+        groups.setdefault(r[2], []).append(r[0])
+    got = {r["id"]: r["n"] for r in scale.number_rows(df, "v", "n", ties=["id"], partition=["g"]).collect()}
+    assert got == {i: k + 1 for ids in groups.values() for k, i in enumerate(ids)}
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(scale, "RANGE_ROWS", 100)
+    ranged = scale.ordered_ranges(spark.range(10_000).withColumn("v", F.lit(1)), "v", ["id"])
+    assert ranged.select("_range").distinct().count() > 80
+
+
+def test_numbering_takes_one_exchange(spark):
+    plan = scale.number_rows(spark.range(1000).withColumn("v", F.lit(1.0)), "v", ties=["id"])._jdf.queryExecution().executedPlan().toString()
+    own = [line for line in plan.split("InMemoryRelation")[0].splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert not own
+
+
+def test_splits_cut_without_sorting_the_table(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"), F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 4).alias("c"), F.lit("x").alias("_r"))
+    out = split.stratified_split(df, "k", "c")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.split("ResultQueryStage")[-1] and "Window" not in plan
+    hashed = [(r["k"], r["c"], r["h"]) for r in df.withColumn("h", F.md5(F.concat(F.col("k").cast("string"), F.lit("|42")))).collect()]
+    want = {}
+    for c in {c for _, c, _ in hashed}:
+        own = [k for k, x, h in sorted(hashed, key=lambda r: r[2]) if x == c]
+        test = int(len(own) * 0.2 + 0.5)
+        valid = test + int((len(own) - test) * 0.2 + 0.5)
+        want.update({k: "test" if i < test else "validation" if i < valid else "train" for i, k in enumerate(own)})
+    assert {r["k"]: r["data_split"] for r in out.collect()} == want
+    ranked = [k for k, _, h in sorted(hashed, key=lambda r: r[2])]
+    train = {r["k"] for r in split.hashed_split(df, "k", 0.3).collect() if r["data_split"] == "train"}
+    assert train == set(ranked[:1500])
+    assert split.stratified_split(df.limit(0), "k", "c").count() == 0 and split.hashed_split(df.limit(0), "k").count() == 0
+    assert {r[0] for r in split.hashed_split(df, "k", 0.0).select("data_split").distinct().collect()} == {"test"}
