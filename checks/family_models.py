@@ -30,8 +30,10 @@ def _forest(s, d):
 
 
 def _tuned(s, d):
-    data, _ = models.labelled(settle(accidents(s, d)))
-    return models.tune_forest(data, models.severity_pipeline(*SEVERITY))[1]
+    data, names = models.labelled(settle(accidents(s, d)))
+    train, test = split.bernoulli_split(data, "accident_id", "accident_severity")
+    best, table = models.tune_forest(train, models.severity_pipeline(*SEVERITY))
+    return best, best.transform(test), names, table
 
 
 def _boosted(s, d):
@@ -128,7 +130,9 @@ QUERIES = {
     "m4_feature_stages": _encoded,
     "m5_preprocessor": _prepared,
     "m7_forest_metrics": lambda s, d: (lambda r: metrics.metric_table(models.named_predictions(r[1], r[2])))(_forest(s, d)),
-    "m8_forest_grid": _tuned,
+    "m8_forest_grid": lambda s, d: _tuned(s, d)[3],
+    "m7_m8_winner_metrics": lambda s, d: (lambda r: metrics.metric_table(models.named_predictions(r[1], r[2])))(_tuned(s, d)),
+    "m10_m8_winner_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_tuned(s, d)),
     "m10_dx6_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_forest(s, d)),
     "m11_boosted_metrics": lambda s, d: metrics.regression(_boosted(s, d)[1], "risk_score", "prediction"),
     "dx14_boosted_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_boosted(s, d)),
