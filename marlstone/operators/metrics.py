@@ -216,6 +216,33 @@ def binary_metrics(df: DataFrame, threshold: float = 0.5, y: str = "y", p: str =
     )
 
 
+def grouped_binary_metrics(df: DataFrame, key: str, threshold: float = 0.5, y: str = "y", p: str = "p") -> DataFrame:
+    """:func:`binary_metrics` of every value of ``key`` from one count of rows by key and score."""
+    value = F.col(p) >= threshold
+    scores = df.groupBy(key, F.col(p).alias("score")).agg(
+        *_counts(y, value), F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"),
+        F.sum(F.pow(F.col(p) - F.col(y), 2)).alias("gap"))
+    curve = running_totals(scores, "score", {"pos": "_tp", "neg": "_fp"}, descending=True, partition=[key])
+    above = F.col("_tp") - F.col("pos")
+    found = curve.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp", "gap")],
+        F.sum(F.col("neg") * (above + F.col("pos") / 2)).alias("_pairs"),
+        F.sum(F.col("pos") * _ratio(F.col("_tp"), F.col("_tp") + F.col("_fp"))).alias("_steps"))
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    pos, neg = tp + fn, tn + fp
+    return found.select(
+        key, F.lit(float(threshold)).alias("threshold"),
+        _ratio(tp + tn, pos + neg).alias("accuracy"),
+        _ratio(tp, tp + fp).alias("precision"),
+        _ratio(tp, pos).alias("recall"),
+        _ratio(tn, neg, None).alias("specificity"),
+        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        _ratio(F.col("_pairs"), pos * neg, None).alias("roc_auc"),
+        _ratio(F.col("_steps"), pos, None).alias("pr_auc"),
+        (F.col("gap") / (pos + neg)).alias("brier_score"), "tn", "fp", "fn", "tp",
+    )
+
+
 def threshold_table(
     df: DataFrame,
     y: str = "y",

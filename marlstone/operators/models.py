@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -24,7 +25,7 @@ from pyspark.sql.window import Window
 
 from marlstone.functions import features as X
 from marlstone.functions import fixed
-from marlstone.operators import explore, features, forests, metrics, split
+from marlstone.operators import candidates, explore, features, forests, metrics, split
 from marlstone.operators.scale import broadcast_within
 from marlstone.session import settle
 
@@ -358,26 +359,19 @@ def tuned_summary(metric_rows: DataFrame) -> DataFrame:
 
 
 def sweep_strengths(bundle: Bundle, penalty: str = "l2", strengths: Sequence[float] | None = None) -> DataFrame:
-    """Validation metrics at 0.5 per inverse strength; for L1 also the number of features kept."""
+    """Validation metrics at 0.5 per inverse strength, and the number of features kept. All strengths are
+    fitted side by side, and measured in one grouped pass."""
     strengths = strengths or (fixed.L1_STRENGTHS if penalty == "l1" else fixed.L2_STRENGTHS)
-    train, validation = bundle.part("train"), bundle.part("validation")
-    out = None
-    for c in strengths:
-        model = logistic(train, c, penalty)
-        kept = sum(abs(float(v)) > 1e-8 for v in model.coefficients)
-        one = metrics.binary_metrics(scored(model, validation)).select(
-            F.lit(penalty).alias("penalty"), F.lit(float(c)).alias("C"), F.lit(kept).alias("selected_transformed_features"), "*"
-        )
-        out = one if out is None else out.unionByName(one)
+    asked = [candidates.Candidate(penalty, float(c)) for c in strengths]
+    fitted = candidates.fit_all(bundle.part("train"), asked)
+    rows = [(k, penalty, c.c, int((np.abs(w[1:]) > 1e-8).sum())) for k, (c, w) in enumerate(zip(asked, fitted))]
+    names = bundle.data.sparkSession.createDataFrame(
+        rows, "candidate int, penalty string, C double, selected_transformed_features int")
+    measured = metrics.grouped_binary_metrics(candidates.score_all(bundle.part("validation"), fitted, asked), "candidate")
+    out = F.broadcast(names).join(measured, "candidate").drop("candidate")  # a row each
     return out.orderBy(F.desc("f1"), F.desc("roc_auc"), F.desc("precision"), "C")
 
 
-def selected_features(bundle: Bundle, c: float, penalty: str = "l1") -> DataFrame:
-    """Features whose coefficient is not zero."""
-    model = logistic(bundle.part("train"), c, penalty)
-    return coefficient_table(bundle.data, bundle.names, model.coefficients).filter("abs_coefficient > 1e-8")
-
-
 def _at_once(jobs: Sequence[Callable[[], object]], parallelism: int = 4) -> list:
     """Results of the jobs in their order, at most ``parallelism`` of them running."""
     with ThreadPoolExecutor(parallelism) as pool:
@@ -446,19 +440,16 @@ def grid_search(
 ) -> DataFrame:
     """Cross-validated F1, precision, recall and AUC per penalty, strength and class weight.
 
-    Folds are stratified and exact; the table is ranked by mean F1, ties sharing a rank.
+    Folds are stratified and exact. All candidates are fitted on all folds side by side and measured in one
+    grouped pass; the table is ranked by mean F1, ties sharing a rank.
     """
     folded = settle(split.stratified_folds(bundle.part("train"), key, "y", folds, seed))
-
-    def one(penalty: str, c: float, weight: str | None, k: int) -> tuple:
-        model = logistic(folded.filter(F.col("fold") != k), c, penalty, weight == "balanced")
-        m = metrics.binary_metrics(scored(model, folded.filter(F.col("fold") == k))).first()
-        return penalty, float(c), weight or "None", m["f1"], m["precision"], m["recall"], m["roc_auc"]
-
-    rows = _at_once([
-        lambda a=(p, c, w, k): one(*a) for p in penalties for c in strengths for w in weights for k in range(folds)])
-    out = folded.sparkSession.createDataFrame(
-        rows, "penalty string, C double, class_weight string, f1 double, precision double, recall double, roc_auc double")
+    asked = [candidates.Candidate(p, float(c), w == "balanced", k) for p in penalties for c in strengths for w in weights for k in range(folds)]
+    measured = metrics.grouped_binary_metrics(candidates.score_all(folded, candidates.fit_all(folded, asked), asked), "candidate")
+    names = folded.sparkSession.createDataFrame(
+        [(i, a.penalty, a.c, "balanced" if a.balanced else "None") for i, a in enumerate(asked)],
+        "candidate int, penalty string, C double, class_weight string")
+    out = F.broadcast(names).join(measured, "candidate")
     table = out.groupBy("penalty", "C", "class_weight").agg(
         F.avg("f1").alias("cv_mean_f1"), F.stddev_pop("f1").alias("cv_std_f1"), F.avg("precision").alias("cv_mean_precision"),
         F.avg("recall").alias("cv_mean_recall"), F.avg("roc_auc").alias("cv_mean_roc_auc"),
