@@ -92,7 +92,7 @@ QUERIES = {
     "sl8_newest_and_sample": lambda s, d: corpus.newest_and_sample(urls(s, d), 100, 100, 42),
     "x13_absolute_url": lambda s, d: table(s, d, "pages").select(
         "page_id", *[text.absolute_url("url", F.lit(h)).alias(n) for n, h in
-                     (("full", "http://a.b/c"), ("scheme", "//h/x"), ("rooted", "/r/s"), ("query", "?q=1"), ("relative", "n/m"),
+                     (("full", "http://a.b/c"), ("scheme", "//h/x"), ("rooted", "/r/s"), ("stepping", "/r/../s/./t/..?u#v"), ("query", "?q=1"), ("relative", "n/m"),
                       ("climbing", "a/b/c/d/e/f/../../../../../../x"), ("beyond", "../../../../../../../x/./y?z=../w"), ("mixed", "./a/./../b/../c/."))]
     ),
     "x15_augment": lambda s, d: corpus.augment(publications(s, d).select("publication_url", "title", "year"), 500, 42),
@@ -197,7 +197,7 @@ ORACLES = {
         "SELECT url FROM (SELECT publication_url AS url FROM publications ORDER BY seq DESC LIMIT 100) UNION SELECT url FROM (SELECT publication_url AS url FROM publications "
         "WHERE seq < (SELECT max(seq) FROM publications) - 99 ORDER BY md5(concat(publication_url, '|42')) LIMIT 100)"
     ),
-    "x13_absolute_url": f"SELECT page_id, 'http://a.b/c' AS \"full\", concat(regexp_extract(url, '^([a-z]+):', 1), '://h/x') AS scheme, concat({_ROOT}, '/r/s') AS rooted, "
+    "x13_absolute_url": f"SELECT page_id, 'http://a.b/c' AS \"full\", concat(regexp_extract(url, '^([a-z]+):', 1), '://h/x') AS scheme, concat({_ROOT}, '/r/s') AS rooted, concat({_ROOT}, '/s/?u#v') AS stepping, "
     f"concat({_PAGE}, '?q=1') AS query, concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'n/m') AS relative, "
     f"concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'x') AS climbing, concat({_ROOT}, '/x/y?z=../w') AS beyond, concat(regexp_extract({_PAGE}, '^(.*/)', 1), 'c/') AS mixed FROM pages",
     "x15_augment": _p(

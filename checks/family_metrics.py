@@ -51,7 +51,7 @@ QUERIES = {
     "m3_stratified_folds": lambda s, d: split.stratified_folds(scored(s, d).select("row_id", "y"), "row_id", "y", 3, 42),
     "m6_label_index": lambda s, d: split.label_index(view(s, d, "incidents"), "accident_severity"),
     "ag12_confusion": lambda s, d: metrics.confusion(predicted(s, d)),
-    "ag13_confusion_square": lambda s, d: metrics.confusion_square(predicted(s, d).filter("NOT (label = 'minor' AND prediction = 'major')")),
+    "ag13_confusion_square": lambda s, d: metrics.confusion_square(predicted(s, d)),
     "dx5_confusion_heatmap": lambda s, d: metrics.confusion_wide(
         metrics.confusion_square(predicted(s, d)), ["fatal", "major", "minor"]
     ),
@@ -80,7 +80,7 @@ QUERIES = {
     "sl6_best_threshold": lambda s, d: metrics.best_threshold(metrics.threshold_table(scored(s, d))).select(*r9("threshold", "precision", "recall", "f1")),
     "pf20_threshold_prediction": lambda s, d: scored(s, d).select("row_id", X.at_threshold("p", 0.39).alias("predicted")),
     "pf21_risk_band": lambda s, d: scored(s, d).select("row_id", X.risk_band("p").alias("band")),
-    "j12_ag25_risk_band_summary": lambda s, d: metrics.risk_band_summary(scored(s, d).filter("p <= 0.7")).select(
+    "j12_ag25_risk_band_summary": lambda s, d: metrics.risk_band_summary(scored(s, d)).select(
         "band", "vehicles", *r9("avg_probability", "actual_positive_rate")
     ),
     "sl3_priority_list": lambda s, d: metrics.priority_list(scored(s, d).select("row_id", "y", "p"), 0.39),
@@ -179,8 +179,7 @@ ORACLES = {
     "ag12_confusion": _p("SELECT label AS actual, prediction AS predicted, count(*) AS count FROM predicted GROUP BY 1, 2", False),
     "ag13_confusion_square": _p(
         "SELECT a.l AS actual, b.l AS predicted, count(p.accident_id) AS count FROM (SELECT DISTINCT label AS l FROM predicted) a "
-        "CROSS JOIN (SELECT DISTINCT label AS l FROM predicted) b LEFT JOIN predicted p ON p.label = a.l AND p.prediction = b.l "
-        "AND NOT (p.label = 'minor' AND p.prediction = 'major') GROUP BY 1, 2", False
+        "CROSS JOIN (SELECT DISTINCT label AS l FROM predicted) b LEFT JOIN predicted p ON p.label = a.l AND p.prediction = b.l GROUP BY 1, 2", False
     ),
     "dx5_confusion_heatmap": _p(
         "SELECT label AS actual, " + ", ".join(f"count(*) FILTER (prediction = '{c}') AS {c}" for c in ("fatal", "major", "minor")) + " FROM predicted GROUP BY 1", False
@@ -229,7 +228,7 @@ ORACLES = {
     "pf21_risk_band": _s("SELECT row_id, CASE WHEN p <= 0.4::DOUBLE THEN 'Low' WHEN p <= 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS band FROM scored"),
     "j12_ag25_risk_band_summary": _s(
         "SELECT b.band, count(s.p) AS vehicles, round(avg(s.p), 9) AS avg_probability, round(avg(s.y), 9) AS actual_positive_rate FROM (VALUES ('Low'), ('Medium'), ('High')) b(band) "
-        "LEFT JOIN (SELECT *, CASE WHEN p <= 0.4::DOUBLE THEN 'Low' WHEN p <= 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS band FROM scored WHERE p <= 0.7::DOUBLE) s ON s.band = b.band GROUP BY 1"
+        "LEFT JOIN (SELECT *, CASE WHEN p <= 0.4::DOUBLE THEN 'Low' WHEN p <= 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS band FROM scored) s ON s.band = b.band GROUP BY 1"
     ),
     "sl3_priority_list": _s(
         "SELECT row_id, y, p, CASE WHEN p <= 0.4::DOUBLE THEN 'Low' WHEN p <= 0.7::DOUBLE THEN 'Medium' ELSE 'High' END AS maintenance_priority, CAST(0.39 AS DOUBLE) AS threshold, "

@@ -142,7 +142,8 @@ QUERIES = {
     "ag14_j2_wn1_cluster_profile": lambda s, d: models.cluster_profile(_grouped(s, d), AVERAGES, ["weather", "road_type"]),
     "dx10_risk_by_cluster": lambda s, d: dashboard.risk_by_cluster(models.cluster_profile(_grouped(s, d), AVERAGES, [])),
     "dx11_cluster_table": lambda s, d: models.cluster_profile(_grouped(s, d), AVERAGES, ["cause"]).select("cluster", "size", "avg_risk_score", "top_cause"),
-    "dx12_scatter_bins": lambda s, d: dashboard.scatter_bins(_grouped(s, d).dropna(subset=["risk_score"]), "hour", "risk_score", "prediction", 4.0, 0.25),
+    "dx12_scatter_bins": lambda s, d: dashboard.scatter_bins(_grouped(s, d), "hour", "risk_score", "prediction", 4.0, 0.25),
+    "dx12_casualty_bins": lambda s, d: dashboard.scatter_bins(_grouped(s, d), "casualties", "risk_score", "prediction", 1.0, 0.25),
     "m15_m21_bundle_metrics": _all_metrics,
     "m16_coefficients": lambda s, d: _evaluated(s, d)["coefficients"],
     "m20_tuned_summary": lambda s, d: models.tuned_summary(_all_metrics(s, d)),
@@ -210,7 +211,11 @@ ORACLES = {
     "dx11_cluster_table": _profile_sql("cluster, size, avg_risk_score, top_cause", ("cause",)),
     "dx12_scatter_bins": _i(
         "SELECT CAST(accident_id % 4 AS INTEGER) AS prediction, CAST(floor(hour / 4.0) * 4 AS DOUBLE) AS hour, CAST(floor(risk_score / 0.25) * 0.25 AS DOUBLE) AS risk_score, count(*) AS n "
-        "FROM incidents WHERE risk_score IS NOT NULL GROUP BY 1, 2, 3"
+        "FROM incidents GROUP BY 1, 2, 3"
+    ),
+    "dx12_casualty_bins": _i(
+        "SELECT CAST(accident_id % 4 AS INTEGER) AS prediction, CAST(casualties AS DOUBLE) AS casualties, CAST(floor(risk_score / 0.25) * 0.25 AS DOUBLE) AS risk_score, count(*) AS n "
+        "FROM incidents GROUP BY 1, 2, 3"
     ),
     "m30_log_likelihoods": with_views(
         "SELECT count(*) AS n_obs, round(sum(y * ln(p * 0.98 + 0.01) + (1 - y) * ln(1 - (p * 0.98 + 0.01))), 4) AS log_likelihood, "

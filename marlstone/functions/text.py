@@ -142,13 +142,13 @@ def absolute_url(base: Column | str, href: Column | str) -> Column:
     page = F.when(page == root, F.concat(page, F.lit("/"))).otherwise(page)
     folder = F.regexp_extract(page, r"^(.*/)", 1)
     tail = F.regexp_extract(href, r"([?#].*)$", 1)
-    path = F.substr(F.concat(folder, F.regexp_extract(href, r"^([^?#]*)", 1)), F.length(root) + 1)
+    own = F.regexp_extract(href, r"^([^?#]*)", 1)
+    path = F.when(own.startswith("/"), own).otherwise(F.substr(F.concat(folder, own), F.length(root) + 1))
     joined = F.concat(root, _without_steps(path), tail)
     return (
         F.when(href == "", base)
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(root, href))
         .when(href.startswith("?"), F.concat(page, href))
         .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href))
         .otherwise(joined)

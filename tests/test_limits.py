@@ -97,3 +97,23 @@ def test_autocorrelation_over_gaps(spark, block):
     for k in range(9):
         want = sum(c_ * by_id[i - k] for i, c_ in by_id.items() if i - k in by_id) / (c @ c)
         assert math.isclose(got[k], want, abs_tol=1e-12)
+
+
+def test_empty_band_and_empty_cell_stay(spark):
+    from marlstone.operators import metrics
+
+    scored = spark.createDataFrame([(1, 0.1), (0, 0.2), (1, 0.6)], "y int, p double")
+    bands = {r["band"]: (r["vehicles"], r["avg_probability"]) for r in metrics.risk_band_summary(scored).collect()}
+    assert bands["High"] == (0, None) and bands["Medium"] == (1, 0.6) and bands["Low"][0] == 2
+    told = spark.createDataFrame([("a", "a"), ("b", "a"), ("b", "b"), ("b", "b")], "label string, prediction string")
+    cells = {(r["actual"], r["predicted"]): r["count"] for r in metrics.confusion_square(told).collect()}
+    assert cells == {("a", "a"): 1, ("a", "b"): 0, ("b", "a"): 1, ("b", "b"): 2}
+
+
+def test_rooted_links_take_their_steps(spark):
+    from marlstone.functions import text
+
+    one = lambda e: spark.range(1).select(e).first()[0]
+    link = lambda href: one(text.absolute_url(F.lit("http://h/x/y"), F.lit(href)))
+    assert [link(h) for h in ("/a/../b", "/../../c", "/a/b/..", "/a/./b?x=/../y", "/")] == [
+        "http://h/b", "http://h/c", "http://h/a/", "http://h/a/b?x=/../y", "http://h/"]
