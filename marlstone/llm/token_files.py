@@ -21,7 +21,7 @@ END = 0
 #: Ids of a coded block, at most one document more.
 BLOCK_IDS = 1 << 18
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
 #: Bytes of text in a file part, which is one task's work.
 PART_BYTES = 24 << 20
 

@@ -273,7 +273,7 @@ def test_token_files_match_tokenizer(spark, docs, monkeypatch, tmp_path):
     assert ranks == sorted(counts, key=lambda i: (-counts[i], i))
 
 
-@pytest.mark.parametrize("remembered", [1 << 21, 30])
+@pytest.mark.parametrize("remembered", [1 << 20, 30])
 def test_pieces_encode_like_whole_texts(monkeypatch, remembered):
     from tokenizers import Tokenizer
 
