@@ -6,6 +6,8 @@ of text (or one longer text), which bounds the arrays of a task whatever the bat
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +56,18 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         last = min(last, n)
         yield first, last, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
-    pa.default_memory_pool().release_unused()  # workers are many and kept, so none should hold what it has freed
+    release()
+
+
+#: The C library's way to hand freed memory back, where it has one.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
+def release() -> None:
+    """Give freed memory back: workers are many and kept, so none should hold what it has freed."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
