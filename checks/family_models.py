@@ -29,11 +29,19 @@ def _forest(s, d):
     return fitted, fitted.transform(test), names
 
 
-def _tuned(s, d):
+def _searched(s, d):
     data, names = models.labelled(settle(accidents(s, d)))
     train, test = split.bernoulli_split(data, "accident_id", "accident_severity")
-    best, table = models.tune_forest(train, models.severity_pipeline(*SEVERITY))
-    return best, best.transform(test), names, table
+    return *models.tune_forest(train, models.severity_pipeline(*SEVERITY)), test, names
+
+
+def _tuned(s, d):
+    return _searched(s, d)[1]
+
+
+def _winner(s, d):
+    best, _, test, names = _searched(s, d)
+    return best, best.transform(test), names
 
 
 def _boosted(s, d):
@@ -130,9 +138,9 @@ QUERIES = {
     "m4_feature_stages": _encoded,
     "m5_preprocessor": _prepared,
     "m7_forest_metrics": lambda s, d: (lambda r: metrics.metric_table(models.named_predictions(r[1], r[2])))(_forest(s, d)),
-    "m8_forest_grid": lambda s, d: _tuned(s, d)[3],
-    "m7_m8_winner_metrics": lambda s, d: (lambda r: metrics.metric_table(models.named_predictions(r[1], r[2])))(_tuned(s, d)),
-    "m10_m8_winner_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_tuned(s, d)),
+    "m8_forest_grid": _tuned,
+    "m7_m8_winner_metrics": lambda s, d: (lambda r: metrics.metric_table(models.named_predictions(r[1], r[2])))(_winner(s, d)),
+    "m10_m8_winner_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_winner(s, d)),
     "m10_dx6_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_forest(s, d)),
     "m11_boosted_metrics": lambda s, d: metrics.regression(_boosted(s, d)[1], "risk_score", "prediction"),
     "dx14_boosted_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_boosted(s, d)),
