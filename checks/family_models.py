@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import family_clean
 from checks.views import table, view, with_views
 from marlstone.functions import fixed
 from marlstone.operators import clean, dashboard, features, inference, metrics, models, split, textclass
-from marlstone.session import settle
+from marlstone.session import scratch_folder, settle
 
 SEVERITY = (("weather", "visibility", "road_type", "cause"), ("risk_score", "hour"))
 RISK = (("weather", "road_type", "accident_severity"), ("temperature", "hour"))
@@ -95,6 +96,27 @@ def _priority(s, d):
     return models.priority_table(b, r["model"], r["threshold"], "vid")
 
 
+def _served(s, d):
+    """A text classifier that is saved, loaded and applied to the held-out texts as they arrive."""
+    marked = settle(split.stratified_split(
+        texts(s, d).select("doc_id", "text", "label"), "doc_id", "label", test=0.25, validation=0.0, seed=42))
+    train, held_out = marked.filter("data_split = 'train'"), marked.filter("data_split = 'test'").drop("data_split")
+    base = scratch_folder(s)
+    textclass.save_classifier(s, f"{base}/model", *textclass.fit_classifier(train, "doc_id", "text", "label"))
+    held_out.write.parquet(f"{base}/arriving")
+    arriving = s.readStream.schema(held_out.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/arriving")
+    model = textclass.SavedClassifier(s, f"{base}/model")
+    model.classify_stream(arriving, "doc_id", "text", f"{base}/answers", f"{base}/progress").awaitTermination()
+    answers = s.read.parquet(f"{base}/answers").drop("batch")
+    return held_out.select("doc_id", "label").join(answers, "doc_id")
+
+
+def _odds(s, d):
+    """The odds ratios of every bundle."""
+    tables = [inference.odds_ratios(s, _logit(s, d, name)).withColumn("model", F.lit(name)) for name in features.bundles()]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def _logit(s, d, name="engineered_full_lr"):
     return inference.fit_logit(family_clean.engineered(s, d), name, "vid")
 
@@ -160,13 +182,14 @@ QUERIES = {
     "m24_elimination": lambda s, d: models.best_elimination(models.elimination_table([_bundle(s, d, name) for name in features.bundles()])),
     "m25_grid_search": lambda s, d: models.grid_search(_bundle(s, d, "leakage_aware_lr"), "vid"),
     "m26_priority_table": _priority,
-    "m28_m29_odds_ratios": lambda s, d: inference.odds_ratios(s, _logit(s, d)),
+    "m28_m29_odds_ratios": _odds,
     "m30_goodness_of_fit": lambda s, d: inference.goodness_of_fit(s, [_logit(s, d, name) for name in features.bundles()]),
     "m30_log_likelihoods": lambda s, d: inference.log_likelihoods(view(s, d, "scored").withColumn("p", F.col("p") * 0.98 + 0.01)).select(
         "n_obs", F.round("log_likelihood", 4).alias("log_likelihood"), F.round("null_log_likelihood", 4).alias("null_log_likelihood")
     ),
     "m31_tfidf": lambda s, d: _tfidf(s, d).select("doc_id", "term", "tf", F.round("weight", 9).alias("weight")),
     "m32_m33_naive_bayes": lambda s, d: textclass.naive_bayes_holdout(texts(s, d)).select("doc_id", "label", "prediction", F.round("score", 6).alias("score")),
+    "m33_served_classifier": lambda s, d: _served(s, d).select("doc_id", "label", "prediction", F.round("score", 6).alias("score")),
     "m34_classifier_comparison": lambda s, d: textclass.compare_classifiers(texts(s, d)),
 }
 
@@ -243,3 +266,5 @@ ORACLES = {
     "best AS (SELECT doc_id, label, s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, label) AS rn FROM s) WHERE rn = 1) "
     "SELECT test.doc_id, test.label, best.label AS prediction, round(best.s, 6) AS score FROM test JOIN best USING (doc_id)",
 }
+# The classifier answers the same texts whether it is at hand or saved and loaded.
+ORACLES["m33_served_classifier"] = ORACLES["m32_m33_naive_bayes"]

@@ -39,15 +39,56 @@ def settle(df: DataFrame) -> DataFrame:
 
     Where the cluster names a shared folder in ``spark.checkpoint.dir`` the rows are checkpointed
     there, which also cuts the lineage and survives lost executors. Without one (local runs) they
-    are persisted and can be recomputed.
+    are persisted and can be recomputed. A scope of :class:`SettledTables` frees both.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df.persist()
+        return _owned(df.persist())
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    return _owned(df.checkpoint())
+
+
+class SettledTables:
+    """A scope that owns the tables settled inside it and frees them when it is left.
+
+    Write or collect results inside the scope: what still reads a settled table afterwards computes it again,
+    or fails if its rows were checkpointed. Scopes may be nested; a table belongs to the innermost.
+    """
+
+    def __enter__(self) -> SettledTables:
+        self.tables: list[DataFrame] = []
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *failure) -> None:
+        _SCOPES.remove(self)
+        for df in self.tables:
+            file = _checkpoint_file(df)
+            if file:
+                remove_folder(df.sparkSession, file)
+            else:
+                df.unpersist(blocking=True)
+        self.tables.clear()
+
+
+_SCOPES: list[SettledTables] = []
+
+
+def _checkpoint_file(df: DataFrame) -> str | None:
+    """Where a checkpointed table's rows lie; None for another table."""
+    plan = df._jdf.queryExecution().logical()
+    if plan.getClass().getSimpleName() != "LogicalRDD":
+        return None
+    file = plan.rdd().getCheckpointFile()
+    return file.get() if file.isDefined() else None
+
+
+def _owned(df: DataFrame) -> DataFrame:
+    if _SCOPES:
+        _SCOPES[-1].tables.append(df)
+    return df
 
 
 def scratch_folder(spark: SparkSession) -> str:

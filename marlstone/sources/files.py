@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.sources import versions
+
 _S, _I, _D = T.StringType(), T.IntegerType(), T.DoubleType()
 
 
@@ -55,16 +57,15 @@ def read_renamed_csv(spark: SparkSession, path: str, schema: T.StructType | str,
     return read_csv(spark, path, schema).toDF(*names)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-
-
 def read_records(spark: SparkSession, path: str, schema: T.StructType | str = PUBLICATIONS) -> DataFrame:
-    """JSON lines; blank lines are skipped and a missing file is an empty table."""
-    if not _exists(spark, path):
+    """JSON lines; blank lines are skipped and a missing file is an empty table.
+
+    A folder with versions gives the one that holds when this is called.
+    """
+    held = versions.current(spark, path)
+    if held is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(held)
 
 
 def _position():
@@ -101,16 +102,11 @@ def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def replace_records(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite JSON lines that ``df`` itself may read: write beside, then swap the folders."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    beside, aside, target = fs_path(f"{path}.new"), fs_path(f"{path}.old"), fs_path(path)
-    df.write.mode("overwrite").json(f"{path}.new")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(aside, True)
-    if fs.exists(target):
-        fs.rename(target, aside)
-    fs.rename(beside, target)
-    fs.delete(aside, True)
+    """Replace JSON lines that ``df`` itself may read, as a new version of the folder (:mod:`versions`).
+
+    :func:`read_records` finds the former rows or the new ones at any time, never none and never a mixture.
+    """
+    versions.publish(spark, path, lambda folder: df.write.json(folder))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
