@@ -81,6 +81,9 @@ QUERIES = {
     "m42_trend": lambda s, d: explore.trend(view(s, d, "signals"), "x6", "y", 20).select(
         "bin", "n", *[F.round(c, 4).alias(c) for c in ("mean_x", "slope", "fitted")]
     ),
+    "m42_local_line": lambda s, d: explore.local_line(view(s, d, "signals"), "x6", "y").select(
+        "cell", "n", F.round(F.log("x"), 9).alias("log_x"), F.round("slope", 3).alias("slope"), F.round("fitted", 2).alias("fitted")
+    ),
     "dx1_cause_severity_bars": lambda s, d: dashboard.cause_severity(incidents(s, d)),
     "dx2_hotspot_points": lambda s, d: dashboard.hotspot_points(incidents(s, d)),
     "dx2_hotspot_grid": lambda s, d: dashboard.hotspot_grid(incidents(s, d), 0),
@@ -183,6 +186,16 @@ ORACLES = {
         "FROM (SELECT x6, y, CAST((SELECT count(*) FROM e WHERE e.e <= x6) AS INTEGER) AS bin FROM signals) GROUP BY 1",
         "signals", extra="e AS (SELECT DISTINCT unnest(quantile_cont(x6, [" + ", ".join(str(i / 20) for i in range(1, 20)) + "])) AS e FROM signals)",
     ),
+    "m42_local_line": with_views(
+        "SELECT CAST(cell AS INTEGER) AS cell, n, round(ln(m * w + low), 9) AS log_x, round(b / w, 3) AS slope, round((sy - b * su) / sn, 2) AS fitted "
+        "FROM (SELECT *, CASE WHEN sn * suu - su * su > 1e-12 * sn * sn THEN (sn * suy - su * sy) / (sn * suu - su * su) ELSE 0 END AS b FROM sums), s",
+        "signals", extra="s AS (SELECT min(x6) AS low, max(x6) - min(x6) AS w, count(*) AS total FROM signals), r AS (SELECT (x6 - low) / w AS u, y FROM signals, s), "
+        "c AS (SELECT least(floor(u * 256), 255) AS cell, count(*) AS n, sum(u) AS u, sum(u * u) AS uu, sum(y) AS y, sum(u * y) AS uy, sum(u) / count(*) AS m FROM r GROUP BY 1), "
+        "p AS (SELECT a.cell, a.n AS own, a.m, abs(o.m - a.m) AS d, o.n, o.u - o.n * a.m AS u, o.uu - 2 * a.m * o.u + o.n * a.m * a.m AS uu, o.y, o.uy - a.m * o.y AS uy FROM c a, c o), "
+        "h AS (SELECT cell, min(d) AS h FROM (SELECT cell, d, sum(n) OVER (PARTITION BY cell ORDER BY d, n) AS seen FROM p), s WHERE seen >= ceil(0.6666666666666666::DOUBLE * total) GROUP BY 1), "
+        "w AS (SELECT p.*, pow(1 - pow(least(d / h, 1), 3), 3) AS w FROM p JOIN h USING (cell)), "
+        "sums AS (SELECT cell, any_value(own) AS n, any_value(m) AS m, sum(w * n) AS sn, sum(w * u) AS su, sum(w * uu) AS suu, sum(w * y) AS sy, sum(w * uy) AS suy FROM w GROUP BY 1)",
+    ),
     "dx1_cause_severity_bars": _i("SELECT cause, accident_severity, count(*) AS accidents FROM incidents GROUP BY 1, 2"),
     "dx2_hotspot_points": _i("SELECT accident_id, accident_severity, avg(latitude) AS latitude, avg(longitude) AS longitude FROM incidents GROUP BY 1, 2"),
     "dx2_hotspot_grid": _i("SELECT round(latitude, 0) AS latitude, round(longitude, 0) AS longitude, accident_severity, count(*) AS accidents FROM incidents GROUP BY 1, 2, 3"),

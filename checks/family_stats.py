@@ -80,6 +80,9 @@ QUERIES = {
     "m44_simple_draws": lambda s, d: stats.rejection_sample_simple(s, stats.fit(signals(s, d), "m5")),
     "m45_normal_posterior": lambda s, d: (lambda f: stats.normal_posterior(s, f, stats.largest_coefficients(f)))(stats.fit(signals(s, d), "m5")),
     "m46_posterior_histogram": lambda s, d: explore.histogram(_accepted(s, d), "theta_1", 30),
+    "m43_m46_joint_posterior": lambda s, d: stats.joint_posterior(s, _lineitem_fit(s, d)[1], parameters=[0, 1]).select(
+        "bin_1", "bin_2", "accepted", "acceptance_rate", F.round("theta_1", 3).alias("theta_1"), F.round("theta_2", 3).alias("theta_2"),
+        F.round(F.col("density") / F.col("prior_density"), 6).alias("lift"), F.round(F.lit(1) / F.col("prior_density"), 2).alias("prior_area")),
     "m47_summary": lambda s, d: stats.summary(s, stats.fit(signals(s, d), "m5")),
     "m47_simple_summary": lambda s, d: (lambda rf: stats.summary(s, rf[1]).select(
         "term", F.round("std_error", 4).alias("std_error"), F.round("r2", 8).alias("r2"), F.round("sigma", 4).alias("sigma")))(_lineitem_fit(s, d)),
@@ -94,6 +97,15 @@ def _ratio(x, above, below):
     return f"(({power(above)}) / ({power(below)}))"
 
 
+def _draws(name, n, seed):
+    """The draws of both parameters with their distance, from the numbers of their MD5."""
+    u = lambda t, w: f"(CAST('0x' || substr(md5(range || '|{t}|{seed}'), 1, 12) AS BIGINT) / 281474976710656.0::DOUBLE * 2 - 1) * {w}"
+    return (
+        f"{name} AS (SELECT *, rss + p * p * n + 2 * p * q * sx + q * q * sxx AS distance FROM "
+        f"(SELECT {u('theta_1', 'wa')} AS p, {u('theta_2', 'wb')} AS q, f.* FROM range({n}), f))"
+    )
+
+
 def _v(sql, extra=""):
     return with_views(sql, "signals", extra=extra)
 
@@ -120,6 +132,15 @@ ORACLES = {
     "r AS (SELECT l_quantity AS x, l_extendedprice AS y, l_extendedprice - a - b * l_quantity AS e, 1.0::DOUBLE / n + pow(l_quantity - m, 2) / sxx AS h, n FROM lineitem, s), "
     "v AS (SELECT sum(e * e) / (count(*) - 2) AS s2 FROM r) SELECT x, y, round(h, 9) AS leverage, round(e * e * h / (2 * s2 * pow(1 - h, 2)), 9) AS cooks_d, "
     "CAST(e * e * h / (2 * s2 * pow(1 - h, 2)) > 4.0::DOUBLE / n AS INTEGER) AS influential FROM r, v",
+    "m43_m46_joint_posterior": "WITH l AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem), g AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b, CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM l), "
+    "f AS (SELECT any_value(COLUMNS(g.*)), sum(pow(y - a - b * x, 2)) AS rss, greatest(0.01, 0.2 * abs(any_value(a))) AS wa, greatest(0.01, 0.2 * abs(any_value(b))) AS wb FROM l, g), "
+    + _draws("pilot", 3000, "123-pilot") + ", " + _draws("main", 10000, "123") + ", "
+    "k AS (SELECT CAST(least(floor((p + wa) / (2 * wa) * 20), 19) AS INTEGER) AS bin_1, CAST(least(floor((q + wb) / (2 * wb) * 20), 19) AS INTEGER) AS bin_2, count(*) AS accepted "
+    "FROM main WHERE distance <= (SELECT quantile_cont(distance, 0.02) FROM pilot) GROUP BY 1, 2), "
+    "box AS (SELECT CAST(i.range AS INTEGER) AS bin_1, CAST(j.range AS INTEGER) AS bin_2 FROM range(20) i, range(20) j), "
+    "t AS (SELECT bin_1, bin_2, coalesce(accepted, 0) AS accepted, sum(coalesce(accepted, 0)) OVER () AS total FROM box LEFT JOIN k USING (bin_1, bin_2)) "
+    "SELECT bin_1, bin_2, accepted, CAST(total AS DOUBLE) / 10000 AS acceptance_rate, round(a - wa + (bin_1 + 0.5::DOUBLE) * wa / 10, 3) AS theta_1, "
+    "round(b - wb + (bin_2 + 0.5::DOUBLE) * wb / 10, 3) AS theta_2, round(accepted * 400.0::DOUBLE / CAST(total AS DOUBLE), 6) AS lift, round(4 * wa * wb, 2) AS prior_area FROM t, f",
     "m47_simple_summary": "WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS m, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a, regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem), "
     "v AS (SELECT sum(pow(l_extendedprice - a - b * l_quantity, 2)) / (any_value(n) - 2) AS s2 FROM lineitem, s) "
     "SELECT t.term, round(CASE WHEN t.term = 'x' THEN sqrt(s2 / sxx) ELSE sqrt(s2 * (1.0::DOUBLE / n + m * m / sxx)) END, 4) AS std_error, round(r2, 8) AS r2, round(sqrt(s2), 4) AS sigma FROM (VALUES ('1'), ('x')) t(term), s, v",

@@ -316,19 +316,53 @@ def relative_widths(f: Fit, parameters: Sequence[int], share: float = 0.20, leas
 
 
 def rejection_sample(
-    spark: SparkSession, f: Fit, draws: int = 10_000, pilot: int = 3_000, quantile: float = 0.02, seed: int | str = 123
+    spark: SparkSession, f: Fit, draws: int = 10_000, pilot: int = 3_000, quantile: float = 0.02, seed: int | str = 123,
+    parameters: Sequence[int] | None = None,
 ) -> tuple[DataFrame, float]:
-    """Accepted draws of the two largest parameters and the accepted distance.
+    """Accepted draws of two parameters (the largest by default) and the accepted distance.
 
     The distance limit is the given quantile of a pilot run.
     """
-    parameters = largest_coefficients(f)
+    parameters = largest_coefficients(f) if parameters is None else parameters
     widths = relative_widths(f, parameters)
     first = prior_draws(spark, f, parameters, widths, pilot, f"{seed}-pilot")
     limit = exact_quantiles(first, ["distance"], [quantile])["distance"][0]
     return prior_draws(spark, f, parameters, widths, draws, seed).filter(F.col("distance") <= limit), limit
 
 
+def joint_posterior(
+    spark: SparkSession, f: Fit, draws: int = 10_000, pilot: int = 3_000, quantile: float = 0.02, seed: int | str = 123,
+    parameters: Sequence[int] | None = None, bins: int = 20,
+) -> DataFrame:
+    """Accepted draws over the prior's box of ``bins`` by ``bins`` cells, empty cells included.
+
+    (bin_1, bin_2, theta_1, theta_2, accepted, density, prior_density, acceptance_rate): the parameters at the
+    middle of the cell, the posterior's density in it and the prior's. A density is NULL if no draw was accepted.
+    """
+    parameters = largest_coefficients(f) if parameters is None else parameters
+    widths = relative_widths(f, parameters)
+    accepted, _ = rejection_sample(spark, f, draws, pilot, quantile, seed, parameters)
+    names = ("theta_1", "theta_2")
+    lows = [float(f.coefficients[i]) - w for i, w in zip(parameters, widths)]
+    sides = [2 * w / bins for w in widths]
+    cell = [
+        F.greatest(F.lit(0), F.least(F.floor((F.col(t) - low) / side), F.lit(bins - 1))).cast("int").alias(f"bin_{k}")
+        for k, (t, low, side) in enumerate(zip(names, lows, sides), 1)
+    ]
+    counts = accepted.groupBy(*cell).agg(F.count("*").alias("accepted"))
+    box = spark.range(bins * bins).select(
+        F.floor(F.col("id") / bins).cast("int").alias("bin_1"), F.pmod("id", F.lit(bins)).cast("int").alias("bin_2"))
+    # At most one row per cell of the box.
+    held = box.join(F.broadcast(counts), ["bin_1", "bin_2"], "left").fillna(0, ["accepted"])
+    total = F.sum("accepted").over(Window.partitionBy())
+    return held.select(
+        "bin_1", "bin_2", *[(F.lit(low) + (F.col(f"bin_{k}") + 0.5) * F.lit(side)).alias(t)
+                            for k, (t, low, side) in enumerate(zip(names, lows, sides), 1)],
+        "accepted", F.try_divide(F.col("accepted"), total * F.lit(sides[0] * sides[1])).alias("density"),
+        F.lit(1.0 / (bins * bins * sides[0] * sides[1])).alias("prior_density"), (total / F.lit(draws)).alias("acceptance_rate"),
+    )
+
+
 def rejection_sample_simple(
     spark: SparkSession, f: Fit, draws: int = 1_000, width: float = 0.1, factor: float = 1.5, seed: int | str = 123
 ) -> DataFrame:

@@ -1,7 +1,8 @@
 import __spark_entry__ as entry
 import pytest
 
-FAST = ["ag3_day_hour_counts", "j12_ag25_risk_band_summary", "x8_slug", "ag13_confusion_square", "m3_stratified_split"]
+FAST = ["ag3_day_hour_counts", "j12_ag25_risk_band_summary", "x8_slug", "ag13_confusion_square", "m3_stratified_split",
+        "j6_sl1_rk4_search", "m42_local_line", "m43_m46_joint_posterior", "m33_served_classifier"]
 
 
 def test_names_line_up():
