@@ -76,7 +76,7 @@ QUERIES = {
     "ag19_numeric_quality": lambda s, d: profile.numeric_quality(raw(s, d), cleaned(s, d)),
     "ag20_date_quality": lambda s, d: profile.date_quality(raw(s, d), cleaned(s, d)),
     "ag20_date_order": lambda s, d: profile.date_order(raw(s, d), cleaned(s, d)),
-    "ag21_before_after": lambda s, d: profile.before_after(raw(s, d), cleaned(s, d)),
+    "ag21_before_after": lambda s, d: profile.cleaning_comparison(raw(s, d)),
     "ag23_t13_t16_engineered": lambda s, d: _text_dates(engineered(s, d)).drop(
         "tire_condition_score", "brake_condition_score", "battery_condition_score"
     ).withColumns({c: F.col(c).cast("double") for c in ("condition_score", "days_since_last_service", "days_to_warranty_expiry")}),

@@ -176,3 +176,35 @@ def before_after(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     dirty = measure(raw, C.is_missing_like(clean.VEHICLE_TARGET), "dirty_dataset", wrong["dirty_inconsistent"])
     tidy = measure(cleaned, F.col(clean.VEHICLE_TARGET).isNull(), "cleaned_dataset", wrong["clean_inconsistent"])
     return dirty.join(tidy, "metric")
+
+
+def cleaning_comparison(raw: DataFrame, thousands: bool = False) -> DataFrame:
+    """:func:`before_after` of a table and its cleaned form, with one scan and one cleaning.
+
+    Rows are grouped into distinct ones, cleaned, and grouped again, as different rows may be cleaned to the same.
+    """
+    service, expiry = clean.VEHICLE_DATES
+    late = F.coalesce(F.col(expiry) < F.col(service), F.lit(False))
+    distinct = raw.groupBy(*raw.columns).agg(F.count("*").alias("_copies"))
+    typed = clean.typed_vehicles(distinct.withColumn("_absent", C.is_missing_like(clean.VEHICLE_TARGET)), thousands)
+    tidy = typed.withColumn("_late", late).withColumn(expiry, C.drop_expiry_before_service(expiry, service))
+    copies = F.col("_copies")
+    same = tidy.groupBy(*raw.columns).agg(
+        F.count("*").alias("_rows"), F.sum(copies).alias("_raw"), F.sum(copies - 1).alias("_again"),
+        F.sum(F.when(F.col("_absent"), copies)).alias("_absent"), F.sum(F.when(F.col("_late"), copies)).alias("_late"),
+    )
+    has_target, rows = F.col(clean.VEHICLE_TARGET).isNotNull(), F.col("_rows")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    width = F.lit(len(raw.columns)).cast("bigint")
+    measures = {
+        "Rows": (total("_raw"), total(F.when(has_target, rows))),
+        "Columns": (width, width),
+        "Exact duplicate rows": (total("_again"), total(F.when(has_target, rows - 1))),
+        "Rows with missing/invalid target": (total("_absent"), F.lit(0).cast("bigint")),
+        "Warranty earlier than last service": (total("_late"), total(F.when(has_target & late, rows))),
+    }
+    row = same.agg(F.array(*[
+        F.struct(F.lit(name).alias("metric"), before.alias("dirty_dataset"), after.alias("cleaned_dataset"))
+        for name, (before, after) in measures.items()
+    ]).alias("m"))
+    return row.select(F.inline("m"))

@@ -71,6 +71,9 @@ def test_audit_adds_up(spark, folder):
     assert audit["final_modeling_rows"] == audit["rows_after_dedup"] - audit["rows_with_missing_target_dropped"]
     assert clean.clean_vehicles(raw).count() == audit["final_modeling_rows"]
     metrics = {r["metric"]: r for r in profile.before_after(raw, clean.clean_vehicles(raw)).collect()}
+    once = {r["metric"]: r for r in profile.cleaning_comparison(raw).collect()}
+    assert once == metrics
+    assert all(r["cleaned_dataset"] == 0 for n, r in {x["metric"]: x for x in profile.cleaning_comparison(raw.limit(0)).collect()}.items() if n != "Columns")
     assert metrics["Warranty earlier than last service"]["dirty_dataset"] > 0
     assert metrics["Warranty earlier than last service"]["cleaned_dataset"] == 0
 
