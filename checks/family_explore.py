@@ -72,6 +72,9 @@ QUERIES = {
     "ag30_histogram_breaks": lambda s, d: explore.histogram_breaks(
         table(s, d, "events"), "value", [0.0, 50.0, 100.0, 200.0, 400.0, 2000.0]
     ).withColumn("density", F.round("density", 9)),
+    "ag30_histogram_default": lambda s, d: explore.histogram_breaks(table(s, d, "lineitem"), "l_extendedprice").withColumn(
+        "density", F.round("density", 12)
+    ),
     "ag31_density": lambda s, d: explore.density(table(s, d, "events"), "value", 128).select(
         "i", F.round("x", 6).alias("x"), F.round("density", 9).alias("density")
     ),
@@ -170,6 +173,16 @@ ORACLES = {
     "n AS (SELECT count(*) AS n FROM events WHERE value BETWEEN 0 AND 2000) "
     "SELECT bin, bin_low, bin_high, count(e.value) AS count, round(count(e.value) / (any_value(n.n) * (bin_high - bin_low)), 9) AS density "
     "FROM b LEFT JOIN events e ON (e.value > bin_low OR (bin = 1 AND e.value = 0)) AND e.value <= bin_high, n GROUP BY 1, 2, 3",
+    "ag30_histogram_default": "WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(l_extendedprice) AS n FROM lineitem), "
+    "r AS (SELECT *, (hi - lo) / ceil(log2(n) + 1) AS raw FROM s), a AS (SELECT *, pow(10::DOUBLE, floor(log10(raw))) AS base FROM r), "
+    "b AS (SELECT *, CASE WHEN 2 * base - raw < 1.5 * (raw - base) THEN 2 * base ELSE base END AS u FROM a), "
+    "c AS (SELECT * REPLACE (CASE WHEN 5 * base - raw < 2.75 * (raw - u) THEN 5 * base ELSE u END AS u) FROM b), "
+    "w AS (SELECT * REPLACE (CASE WHEN 10 * base - raw < 1.5 * (raw - u) THEN 10 * base ELSE u END AS u) FROM c), "
+    "g AS (SELECT *, floor(lo / u + 1e-7) AS first, ceil(hi / u - 1e-7) AS last FROM w), "
+    "e AS (SELECT CAST(i.range + 1 AS INTEGER) AS bin, (first + i.range) * u AS bin_low, (first + i.range + 1) * u AS bin_high, n "
+    "FROM g, range(1000) i WHERE i.range < greatest(last - first, 1)) "
+    "SELECT bin, bin_low, bin_high, count(l_extendedprice) AS count, round(count(l_extendedprice) / (any_value(n) * (bin_high - bin_low)), 12) AS density "
+    "FROM e LEFT JOIN lineitem ON (l_extendedprice > bin_low OR (bin = 1 AND l_extendedprice = bin_low)) AND l_extendedprice <= bin_high GROUP BY 1, 2, 3",
     "ag31_density": "WITH h AS (SELECT min(value) AS lo, max(value) AS hi, count(*) AS n, "
     "0.9::DOUBLE * least(stddev_samp(value), (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) / 1.34::DOUBLE) * pow(count(*), -0.2::DOUBLE) AS h FROM events), "
     "s AS (SELECT *, lo - 3 * h AS start, (hi + 3 * h - (lo - 3 * h)) / 127 AS step FROM h), "

@@ -55,10 +55,16 @@ def _segments(s, d):
     from pyspark.ml import Pipeline
 
     df = accidents(s, d)
+    df = settle(df.withColumn("traffic_density", F.when(F.col("hour").between(7, 18), "high").otherwise("low")))
     data = Pipeline(stages=models.feature_stages(*SEGMENT, scale=True)).fit(df).transform(df)
     return data, *models.sweep_clusters(data, (2, 3, 4, 5, 6))
 
 
+def _assigned(s, d):
+    data, sweep, fitted = _segments(s, d)
+    return models.assignments(fitted[models.best_k(sweep)], data)
+
+
 def _profile(s, d):
     data, sweep, fitted = _segments(s, d)
     averages = {k: v for k, v in models.SEGMENT_AVERAGES.items() if v[0] in SEGMENT[1]}
@@ -168,6 +174,7 @@ QUERIES = {
     "dx14_boosted_importance": lambda s, d: (lambda r: models.importance_table(r[1], r[0].stages[-1].featureImportances))(_boosted(s, d)),
     "m13_dx9_cluster_sweep": lambda s, d: _segments(s, d)[1],
     "m14_nearest_centroid": _centroids,
+    "m14_assignments": _assigned,
     "ag14_cluster_profile_fitted": _profile,
     "ag14_j2_wn1_cluster_profile": lambda s, d: models.cluster_profile(_grouped(s, d), AVERAGES, ["weather", "road_type"]),
     "dx10_risk_by_cluster": lambda s, d: dashboard.risk_by_cluster(models.cluster_profile(_grouped(s, d), AVERAGES, [])),

@@ -55,18 +55,17 @@ def merge(
         *[F.col(c).alias(f"_old_{c}") for c in fields],
     )
     fresh = keyed(new, key)
+    if fixed_tag is None:
+        # A set per key, built from single tags: repeats of a record add nothing to it. A record's fields stand
+        # beside each of its tags, so that one pass and one shuffle serve both.
+        fresh = fresh.withColumn("_tag", F.explode_outer(tags))
+        gathered = F.collect_set("_tag")
+    else:
+        gathered = F.array(F.lit(fixed_tag))
     latest = fresh.groupBy(key).agg(
-        F.lit(True).alias("_new"),
+        F.lit(True).alias("_new"), gathered.alias("_new_tags"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_new_{c}") for c in fields],
     )
-    if fixed_tag is None:
-        # A set per key, built from single tags: repeats of a record add nothing to it.
-        gathered = (
-            fresh.select(key, F.explode(tags).alias("_tag")).groupBy(key).agg(F.collect_set("_tag").alias("_new_tags"))
-        )
-        latest = latest.join(gathered, key, "left")
-    else:
-        latest = latest.withColumn("_new_tags", F.array(F.lit(fixed_tag)))
     empty = F.array().cast("array<string>")
     union = F.array_sort(F.array_union(F.coalesce("_old_tags", empty), F.coalesce("_new_tags", empty)))
     # A record that only the old side has keeps its tags as they are.

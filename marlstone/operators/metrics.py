@@ -11,6 +11,10 @@ from pyspark.sql.window import Window
 from marlstone.functions import features as X
 from marlstone.functions import fixed
 from marlstone.operators.scale import running_totals
+from marlstone.session import settle
+
+#: Labels of a square confusion matrix.
+SQUARE_LABELS = 4096
 
 
 def _ratio(a: Column, b: Column, empty: float | None = 0.0) -> Column:
@@ -26,10 +30,13 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 
 def confusion_square(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Counts for every pair of labels, zeros included."""
+    """Counts for every pair of labels, zeros included. More than ``SQUARE_LABELS`` labels are an error: their
+    square has more cells than a table of zeros is good for, and :func:`confusion` gives the pairs that occur."""
     pairs = confusion(df, label, prediction)
     names = pairs.select(F.explode(F.array("actual", "predicted")).alias("name")).distinct()
-    every = names.agg(F.array_sort(F.collect_set("name"))).scalar()
+    every = names.limit(SQUARE_LABELS + 1).agg(F.array_sort(F.collect_set("name"))).scalar()
+    every = F.when(F.size(every) <= SQUARE_LABELS, every).otherwise(
+        F.raise_error(F.lit(f"a square of more than {SQUARE_LABELS} labels")))
     square = names.select(F.col("name").alias("actual"), F.explode(every).alias("predicted"))
     return square.join(pairs, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")
@@ -196,50 +203,42 @@ def _counts(y: str, called: Column) -> list[Column]:
 
 
 def binary_metrics(df: DataFrame, threshold: float = 0.5, y: str = "y", p: str = "p") -> DataFrame:
-    """Accuracy, precision, recall, specificity, F1, ROC-AUC, average precision, Brier and counts.
+    """Accuracy, precision, recall, specificity, F1, ROC-AUC, average precision, Brier and counts, one row.
 
-    Precision, recall and F1 are 0 when undefined, specificity is NULL.
+    Precision, recall and F1 are 0 when undefined, the others are NULL. Rows are read once: everything follows
+    from their count by score.
     """
-    counts = df.agg(*_counts(y, F.col(p) >= threshold), F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier_score"))
-    quality = ranking_quality(df, y, p).select(F.struct("roc_auc", "pr_auc")).scalar()
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    return counts.select(
-        F.lit(float(threshold)).alias("threshold"),
-        _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        _ratio(tp, tp + fp).alias("precision"),
-        _ratio(tp, tp + fn).alias("recall"),
-        _ratio(tn, tn + fp, None).alias("specificity"),
-        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        quality["roc_auc"].alias("roc_auc"),
-        quality["pr_auc"].alias("pr_auc"),
-        "brier_score", "tn", "fp", "fn", "tp",
-    )
+    return _binary(df, [], threshold, y, p)
 
 
 def grouped_binary_metrics(df: DataFrame, key: str, threshold: float = 0.5, y: str = "y", p: str = "p") -> DataFrame:
     """:func:`binary_metrics` of every value of ``key`` from one count of rows by key and score."""
+    return _binary(df, [key], threshold, y, p)
+
+
+def _binary(df: DataFrame, keys: list[str], threshold: float, y: str, p: str) -> DataFrame:
     value = F.col(p) >= threshold
-    scores = df.groupBy(key, F.col(p).alias("score")).agg(
+    scores = settle(df.groupBy(*keys, F.col(p).alias("score")).agg(
         *_counts(y, value), F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"),
-        F.sum(F.pow(F.col(p) - F.col(y), 2)).alias("gap"))
-    curve = running_totals(scores, "score", {"pos": "_tp", "neg": "_fp"}, descending=True, partition=[key])
+        F.sum(F.pow(F.col(p) - F.col(y), 2)).alias("gap"), F.count(F.col(p) - F.col(y)).alias("scored")))
+    curve = running_totals(scores, "score", {"pos": "_tp", "neg": "_fp"}, descending=True, partition=keys)
     above = F.col("_tp") - F.col("pos")
-    found = curve.groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp", "gap")],
+    found = curve.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tn", "fp", "fn", "tp", "pos", "neg", "scored")],
+        F.sum("gap").alias("gap"),
         F.sum(F.col("neg") * (above + F.col("pos") / 2)).alias("_pairs"),
         F.sum(F.col("pos") * _ratio(F.col("_tp"), F.col("_tp") + F.col("_fp"))).alias("_steps"))
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    pos, neg = tp + fn, tn + fp
+    tn, fp, fn, tp, pos, neg = (F.col(c) for c in ("tn", "fp", "fn", "tp", "pos", "neg"))
     return found.select(
-        key, F.lit(float(threshold)).alias("threshold"),
-        _ratio(tp + tn, pos + neg).alias("accuracy"),
+        *keys, F.lit(float(threshold)).alias("threshold"),
+        _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
-        _ratio(tp, pos).alias("recall"),
-        _ratio(tn, neg, None).alias("specificity"),
+        _ratio(tp, tp + fn).alias("recall"),
+        _ratio(tn, tn + fp, None).alias("specificity"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
         _ratio(F.col("_pairs"), pos * neg, None).alias("roc_auc"),
         _ratio(F.col("_steps"), pos, None).alias("pr_auc"),
-        (F.col("gap") / (pos + neg)).alias("brier_score"), "tn", "fp", "fn", "tp",
+        _ratio(F.col("gap"), F.col("scored"), None).alias("brier_score"), "tn", "fp", "fn", "tp",
     )
 
 

@@ -111,12 +111,12 @@ def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: n, ``inverse_weight`` (largest class / n, 4 digits), ``balanced_weight``."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    everything = Window.partitionBy()
+    whole = counts.agg(F.struct(F.max("n").alias("most"), F.sum("n").alias("rows"), F.count("*").alias("classes"))).scalar()
     return counts.select(
         label,
         "n",
-        F.round(F.max("n").over(everything) / F.col("n"), 4).alias("inverse_weight"),
-        (F.sum("n").over(everything) / (F.count("*").over(everything) * F.col("n"))).alias("balanced_weight"),
+        F.round(whole["most"] / F.col("n"), 4).alias("inverse_weight"),
+        (whole["rows"] / (whole["classes"] * F.col("n"))).alias("balanced_weight"),
     )
 
 
@@ -128,10 +128,10 @@ def with_class_weight(df: DataFrame, label: str, balanced: bool = False, name: s
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:
-    """Labels by descending frequency, ties by name: (label, n, index)."""
+    """Labels by descending frequency, ties by name: (label, n, index). Labels are numbered range by range."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("n"), F.asc(label))
-    return counts.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+    ranked = number_rows(counts, "n", "index", descending=True, ties=[label])
+    return ranked.withColumn("index", (F.col("index") - 1).cast("double"))
 
 
 def first_per_class(df: DataFrame, label: str, position: str, n: int = 40, text: str | None = None, shortest: int = 20) -> DataFrame:
