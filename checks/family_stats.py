@@ -54,6 +54,10 @@ def _lineitem_fit(s, d):
     return rows, stats.fit(rows, [("1", F.lit(1.0)), ("x", F.col("x"))])
 
 
+#: Half the width of the prior of a line's parameters: wide enough that many of its draws are refused.
+WIDE = 3000.0
+
+
 def _accepted(s, d):
     return stats.rejection_sample(s, stats.fit(signals(s, d), "m5"))[0]
 
@@ -76,7 +80,13 @@ QUERIES = {
     "m39_cooks_distance": lambda s, d: (lambda rf: stats.cooks_distance(rf[0], rf[1]).select(
         "x", "y", F.round("leverage", 9).alias("leverage"), F.round("cooks_d", 9).alias("cooks_d"), F.col("influential").cast("int").alias("influential")))(_lineitem_fit(s, d)),
     "m40_j13_prediction_interval": lambda s, d: _intervals(s, d),
+    "m40_line_interval": lambda s, d: stats.prediction_interval(*_lineitem_fit(s, d)).select(
+        "x", "y", *[F.round(c, 3).alias(c) for c in ("fitted", "lower", "upper")]),
     "m43_j14_accepted_draws": _accepted,
+    "m44_line_draws": lambda s, d: stats.rejection_sample_simple(s, _lineitem_fit(s, d)[1], width=WIDE).select(
+        "id", F.round("theta_1", 4).alias("theta_1"), F.round("theta_2", 4).alias("theta_2")),
+    "m45_line_posterior": lambda s, d: stats.normal_posterior(s, _lineitem_fit(s, d)[1], [0, 1]).select(
+        "term", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd")),
     "m44_simple_draws": lambda s, d: stats.rejection_sample_simple(s, stats.fit(signals(s, d), "m5")),
     "m45_normal_posterior": lambda s, d: (lambda f: stats.normal_posterior(s, f, stats.largest_coefficients(f)))(stats.fit(signals(s, d), "m5")),
     "m46_posterior_histogram": lambda s, d: explore.histogram(_accepted(s, d), "theta_1", 30),
@@ -102,7 +112,7 @@ def _draws(name, n, seed):
     u = lambda t, w: f"(CAST('0x' || substr(md5(range || '|{t}|{seed}'), 1, 12) AS BIGINT) / 281474976710656.0::DOUBLE * 2 - 1) * {w}"
     return (
         f"{name} AS (SELECT *, rss + p * p * n + 2 * p * q * sx + q * q * sxx AS distance FROM "
-        f"(SELECT {u('theta_1', 'wa')} AS p, {u('theta_2', 'wb')} AS q, f.* FROM range({n}), f))"
+        f"(SELECT {u('theta_1', 'wa')} AS p, {u('theta_2', 'wb')} AS q, range AS id, f.* FROM range({n}), f))"
     )
 
 
@@ -141,6 +151,21 @@ ORACLES = {
     "t AS (SELECT bin_1, bin_2, coalesce(accepted, 0) AS accepted, sum(coalesce(accepted, 0)) OVER () AS total FROM box LEFT JOIN k USING (bin_1, bin_2)) "
     "SELECT bin_1, bin_2, accepted, CAST(total AS DOUBLE) / 10000 AS acceptance_rate, round(a - wa + (bin_1 + 0.5::DOUBLE) * wa / 10, 3) AS theta_1, "
     "round(b - wb + (bin_2 + 0.5::DOUBLE) * wb / 10, 3) AS theta_2, round(accepted * 400.0::DOUBLE / CAST(total AS DOUBLE), 6) AS lift, round(4 * wa * wb, 2) AS prior_area FROM t, f",
+    # The t of a 95% interval as its series in 1 / (n - 2), whose rest is below 1e-10 from some 500 rows on.
+    "m40_line_interval": "WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS m, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem), "
+    "v AS (SELECT sqrt(sum(pow(l_extendedprice - a - b * l_quantity, 2)) / (any_value(n) - 2)) AS sd FROM lineitem, s), "
+    "t AS (SELECT n - 2 AS k, 1.959963984540054::DOUBLE AS z FROM s), "
+    "q AS (SELECT z + (pow(z, 3) + z) / (4 * k) + (5 * pow(z, 5) + 16 * pow(z, 3) + 3 * z) / (96 * pow(k, 2)) "
+    "+ (3 * pow(z, 7) + 19 * pow(z, 5) + 17 * pow(z, 3) - 15 * z) / (384 * pow(k, 3)) AS t FROM t), "
+    "r AS (SELECT l_quantity AS x, l_extendedprice AS y, a + b * l_quantity AS f, t * sd * sqrt(1 + 1.0::DOUBLE / n + pow(l_quantity - m, 2) / sxx) AS h FROM lineitem, s, v, q) "
+    "SELECT x, y, round(f, 3) AS fitted, round(f - h, 3) AS lower, round(f + h, 3) AS upper FROM r",
+    "m44_line_draws": "WITH l AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem), g AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b, CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM l), "
+    f"f AS (SELECT any_value(COLUMNS(g.*)), sum(pow(y - a - b * x, 2)) AS rss, {WIDE}::DOUBLE AS wa, {WIDE}::DOUBLE AS wb FROM l, g), "
+    + _draws("main", 1000, "123") + " SELECT id, round(a + p, 4) AS theta_1, round(b + q, 4) AS theta_2 FROM main WHERE distance < 1.5 * rss",
+    "m45_line_posterior": "WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS m, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem), "
+    "v AS (SELECT sqrt(sum(pow(l_extendedprice - a - b * l_quantity, 2)) / (any_value(n) - 2)) AS sd FROM lineitem, s), "
+    "p AS (SELECT '1' AS term, a AS mean, sd * sqrt(1.0::DOUBLE / n + m * m / sxx) AS sd FROM s, v UNION ALL SELECT 'x', b, sd / sqrt(sxx) FROM s, v) "
+    "SELECT term, round(mean, 4) AS mean, round(sd, 4) AS sd FROM p",
     "m47_simple_summary": "WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS m, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a, regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem), "
     "v AS (SELECT sum(pow(l_extendedprice - a - b * l_quantity, 2)) / (any_value(n) - 2) AS s2 FROM lineitem, s) "
     "SELECT t.term, round(CASE WHEN t.term = 'x' THEN sqrt(s2 / sxx) ELSE sqrt(s2 * (1.0::DOUBLE / n + m * m / sxx)) END, 4) AS std_error, round(r2, 8) AS r2, round(sqrt(s2), 4) AS sigma FROM (VALUES ('1'), ('x')) t(term), s, v",
