@@ -101,3 +101,19 @@ def test_age_zero_and_missing_scores(spark):
     bands = spark.createDataFrame([(p,) for p in (0.4, 0.400001, 0.7, 0.71, None)], "p double").select(X.risk_band("p")).collect()
     assert [r[0] for r in bands] == ["Low", "Medium", "Medium", "High", None]
     assert F is not None
+
+
+def test_formats_are_tried_only_on_texts_of_their_shape(spark):
+    """What a date or number looks like decides first; results are those of trying every format."""
+    from marlstone.functions import cleaning as C
+
+    texts = ["2024-3-5", "02024-003-5", "+12024-03-05", "2024-13-5", "25-12-2023", "12-25-23", "31-31-23", "20240305", "+120240305",
+             "20241305", "5-mar-2024", "5-march-2024", "mar-5-2024", "sept-5-2024", "30-2-2023", "2024-03", "", "-", "x", "1-1--2024"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    tried = F.coalesce(*[F.try_to_date("t", f) for f in C.DATE_FORMATS])
+    plan = df.select(C.date_of(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("rlike") >= len(C.DATE_FORMATS)
+    assert df.where(~C.date_of(F.col("t")).eqNullSafe(tried)).count() == 0
+    numbers = [("12 km", 12.0), ("", None), ("km", None), ("1e1", 10.0), ("-40", -40.0), ("n/a", None), ("inf", float("inf"))]
+    got = spark.createDataFrame([(t,) for t, _ in numbers], "t string").select("t", C.parse_number("t").alias("v")).collect()
+    assert {r["t"]: r["v"] for r in got} == dict(numbers)
