@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.views import table, view, with_views
 from marlstone.functions import features as X
 from marlstone.operators import explore, split, stats
+from marlstone.session import settle
 
 MODELS = list(X.POLYNOMIAL_MODELS)
 
@@ -17,9 +18,9 @@ def signals(s, d):
 
 def _normal_equations(s, d):
     """Cosines between residuals and design columns of every model: 0 exactly at least squares."""
-    out = None
-    for name, f in stats.fit_all(signals(s, d)).items():
-        rows = stats.with_fit(signals(s, d), f)
+    out, data = None, settle(signals(s, d))
+    for name, f in stats.fit_all(data).items():
+        rows = stats.with_fit(data, f)
         e = F.col("residual")
         size = F.sqrt(F.sum(e * e))
         one = rows.agg(*[
@@ -72,11 +73,11 @@ QUERIES = {
     "m36_normal_equations": _normal_equations,
     "m36_simple_regression": lambda s, d: (lambda rf: stats.coefficient_table(s, {"line": rf[1]}).select(
         "model", F.round("theta_0", 4).alias("theta_0"), F.round("theta_1", 4).alias("theta_1")))(_lineitem_fit(s, d)),
-    "m36_coefficients": lambda s, d: stats.coefficient_table(s, stats.fit_all(signals(s, d))),
+    "m36_coefficients": lambda s, d: stats.coefficient_table(s, stats.fit_all(settle(signals(s, d)))),
     "m37_m38_selection": lambda s, d: stats.selection_from_rss(_rss(s, d)).select(
         "model", "parameters", "n", *[F.round(c, 3).alias(c) for c in ("log_likelihood", "aic", "bic")]
     ),
-    "m38_best_model": lambda s, d: stats.best_model(stats.selection_table(s, stats.fit_all(signals(s, d)))),
+    "m38_best_model": lambda s, d: stats.best_model(stats.selection_table(s, stats.fit_all(settle(signals(s, d))))),
     "m39_cooks_distance": lambda s, d: (lambda rf: stats.cooks_distance(rf[0], rf[1]).select(
         "x", "y", F.round("leverage", 9).alias("leverage"), F.round("cooks_d", 9).alias("cooks_d"), F.col("influential").cast("int").alias("influential")))(_lineitem_fit(s, d)),
     "m40_j13_prediction_interval": lambda s, d: _intervals(s, d),

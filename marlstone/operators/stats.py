@@ -135,6 +135,7 @@ def fit(df: DataFrame, model: str | Terms, y: str = "y", name: str | None = None
 
 
 def fit_all(df: DataFrame, models: Sequence[str] = tuple(X.POLYNOMIAL_MODELS), y: str = "y") -> dict[str, Fit]:
+    """Fits of all models. Each reads ``df`` three times: settle one that a join makes."""
     return {m: fit(df, m, y) for m in models}
 
 
