@@ -21,12 +21,18 @@ FACTS = (
 PERSONS, PUBLICATIONS = "/en/persons/", "/en/publications/"
 
 
+#: Pages whose pieces a task holds at once.
+PARSED = 100
+
+
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = pd.DataFrame([H.facts(page) for page in batch["html"]], index=batch.index)
-        found.insert(0, "url", batch["url"])
-        found.insert(0, "page_id", batch["page_id"])
-        yield found
+        for k in range(0, len(batch), PARSED):
+            part = batch.iloc[k:k + PARSED]
+            found = pd.DataFrame([H.facts(page) for page in part["html"]], index=part.index)
+            found.insert(0, "url", part["url"])
+            found.insert(0, "page_id", part["page_id"])
+            yield found
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
