@@ -63,6 +63,10 @@ _SOLID[:0x80] = True
 _SOLID[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = False
 _LEAD = np.zeros(256, bool)
 _LEAD[0xC3:0xE0] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: ASCII signs that are no letters, digits or control bytes.
+_SIGNS = frozenset([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
 #: Pieces in one call's text.
 _JOINED = 1000
 _workers: dict[str, "Pieces"] = {}
@@ -71,10 +75,10 @@ _workers: dict[str, "Pieces"] = {}
 class Pieces:
     """Token ids of texts, by way of the ids of their pieces, which repeat.
 
-    A text is cut before a single space between two characters that are no white space. The tokenizer
-    splits words there too, with the space going to the following word, so pieces encode alike alone and
-    within the text. Ids of pieces met before are taken from memory, others from the tokenizer. When the
-    memory is full its older half goes.
+    A text is cut before a single space between two characters that are no white space, and between an ASCII
+    letter and a sign that no added token holds. The tokenizer splits words there too, with the space going to
+    the following word, so pieces encode alike alone and within the text. Ids of pieces met before are taken from memory, others from the tokenizer. When the
+    memory is full its older half goes, but for pieces met again.
     """
 
     def __init__(self, path: str):
@@ -88,6 +92,10 @@ class Pieces:
         self.levels = [_NONE, _NONE]  # sorted hashes and their slots: many and recent
         self.count = 0  # slots in use; slot k has the ids from at[k] to at[k + 1]
         self.at = np.zeros(1 << 16, np.int32)
+        added = {c for x in self.tokenizer.get_added_tokens_decoder().values() for c in x.content.encode()}
+        self.signs = np.zeros(256, bool)
+        self.signs[sorted(_SIGNS - added)] = True
+        self.again = np.zeros(1 << 16, bool)  # slots met again
         self.ids = np.zeros(1 << 18, np.uint16 if size <= 1 << 16 else np.uint32)
 
     @staticmethod
@@ -97,14 +105,22 @@ class Pieces:
         return _workers[path]
 
     def forget_half(self) -> None:
-        """Drop the older half of the slots."""
-        old = self.count // 2
-        begin = int(self.at[old])
-        used = int(self.at[self.count])
-        self.ids[:used - begin] = self.ids[begin:used].copy()
-        self.count -= old
-        self.at[:self.count + 1] = self.at[old:old + self.count + 1] - begin
-        self.levels = [(names[slots >= old], slots[slots >= old] - np.int32(old)) for names, slots in self.levels]
+        """Drop the older half of the slots, but those met again since the last time; these too if they are most."""
+        half = self.count // 2
+        keep = self.again[:self.count].copy()
+        if int(keep[:half].sum()) > half // 2:
+            keep[:half] = False
+        keep[half:] = True
+        kept = np.flatnonzero(keep)
+        begin, size = self.at[kept].astype(np.int64), np.diff(self.at[:self.count + 1])[kept]
+        ends = np.cumsum(size, dtype=np.int64)
+        ids = self.ids[np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]))]
+        self.ids[:len(ids)] = ids
+        moved = np.cumsum(keep, dtype=np.int32) - np.int32(1)
+        self.levels = [(names[keep[slots]], moved[slots[keep[slots]]]) for names, slots in self.levels]
+        self.count = len(kept)
+        self.at[1:self.count + 1] = ends
+        self.again[:] = False
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a slice, one after another, and where each row starts (rows + 1)."""
@@ -116,6 +132,8 @@ class Pieces:
         cut = np.zeros(n + 1, bool)
         if n > 2:
             cut[1:-2] = (data[1:-1] == 0x20) & closing[:-2] & opening[2:]
+        if n > 1:
+            cut[1:-1] |= _LETTER[data[:-1]] & self.signs[data[1:]]
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
@@ -125,6 +143,7 @@ class Pieces:
             self.forget_half()
         slot = self._slots(distinct)
         fresh = slot < 0
+        self.again[slot[~fresh]] = True
         if fresh.any():
             a, b = starts[first[fresh]], ends[first[fresh]]
             inner = np.concatenate([[0], np.cumsum(data == 0x20)])
@@ -177,7 +196,7 @@ class Pieces:
         while used + new > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.count + len(names) + 1 > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            self.at, self.again = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.again))
         self.ids[used:used + new] = np.concatenate(found)
         slots = np.empty(len(names), np.int32)
         slots[np.concatenate(order)] = self.count + np.arange(len(names))
