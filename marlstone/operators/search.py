@@ -23,7 +23,7 @@ from marlstone.functions import fixed, text
 from marlstone.session import settle
 
 #: Tokens of a shard of the index, documents in a block of a term's postings, and queries that a task answers together.
-SHARD_TOKENS, BLOCK_DOCS, QUERY_BLOCK = 4 << 20, 128, 4096
+SHARD_TOKENS, BLOCK_DOCS, QUERY_BLOCK = 1 << 20, 128, 4096
 
 
 @dataclass
@@ -106,8 +106,8 @@ def build_index(
 def deal_blocks(terms: DataFrame) -> DataFrame:
     """Postings dealt by document: (shard, term, block, docs, tfs, dls, max_tf, min_dl), of rows with unique ``doc_id``.
 
-    A shard is a stretch of an input partition with about ``SHARD_TOKENS`` tokens, counted where it is read, so
-    nothing is shuffled and no shard grows with the table. A block holds up to ``BLOCK_DOCS`` documents of a
+    A shard is a stretch of an input partition that ends with the document that reaches ``SHARD_TOKENS`` tokens,
+    also within a batch of rows, so nothing is shuffled and no shard grows with the table. A block holds up to ``BLOCK_DOCS`` documents of a
     term in ascending order, and the highest count and least length among them, which bound the score of its
     documents whatever the settings. The term '' lists every document of the shard, also those without terms.
     """
@@ -120,11 +120,16 @@ def deal_blocks(terms: DataFrame) -> DataFrame:
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, tokens, shard = [], 0, 0
     for batch in batches:
-        held.append(batch)
-        tokens += len(batch.column(2).flatten())
-        if tokens >= SHARD_TOKENS:
-            yield from _deal(pa.Table.from_batches(held), shard).to_batches()
-            held, tokens, shard = [], 0, shard + 1
+        ends = np.cumsum(np.array(pc.list_value_length(batch.column(2)), np.int64))
+        at, before = 0, 0
+        while at < batch.num_rows:  # a batch may hold several shards
+            last = min(int(np.searchsorted(ends, before + SHARD_TOKENS - tokens)), batch.num_rows - 1)
+            held.append(batch.slice(at, last + 1 - at))
+            tokens += int(ends[last]) - before
+            at, before = last + 1, int(ends[last])
+            if tokens >= SHARD_TOKENS:
+                yield from _deal(pa.Table.from_batches(held), shard).to_batches()
+                held, tokens, shard = [], 0, shard + 1
     if tokens or any(x.num_rows for x in held):
         yield from _deal(pa.Table.from_batches(held), shard).to_batches()
 

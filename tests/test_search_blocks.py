@@ -86,3 +86,14 @@ def test_blocks_that_cannot_win_are_not_read(monkeypatch):
     everything = search._best_of_shard(300, 1.2, 0.75, 5.0)(found, asked)
     assert got["doc_id"].to_pylist() == everything["doc_id"].to_pylist()[:3]
     assert read == [3, 3] and found.num_rows == 53
+
+
+def test_a_shard_ends_within_a_batch(monkeypatch):
+    monkeypatch.setattr(search, "SHARD_TOKENS", 100)
+    sizes = [30, 0, 40, 50, 7, 200, 0, 99, 1, 3]
+    whole = pa.record_batch({"part": [8] * 10, "doc_id": range(10), "terms": [["a"] * n for n in sizes]})
+    for batches in ([whole], [whole.slice(0, 4), whole.slice(4, 0), whole.slice(4)]):
+        dealt = pa.Table.from_batches(search._dealt(iter(batches)))
+        every = dealt.filter(pc.equal(dealt["term"], "")).to_pylist()
+        assert [(r["shard"], r["docs"]) for r in every] == [(8, [0, 1, 2, 3]), (9, [4, 5]), (10, [6, 7, 8]), (11, [9])]
+        assert sum(map(sum, dealt.filter(pc.equal(dealt["term"], "a"))["tfs"].to_pylist())) == sum(sizes)
