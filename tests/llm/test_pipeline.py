@@ -115,3 +115,26 @@ def test_every_operator_is_registered():
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and {"op2_threshold_top_k", "op3_ngram_jaccard_join", "op6_line_chunks", "op7_fm_index_decontamination"} <= set(entry.oracle_sql())
+
+
+def test_shuffle_files_of_an_ended_stage_are_given_back(spark):
+    import time
+    from pathlib import Path
+
+    import corpus_pipeline
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: sum(len(list(Path(f).rglob("shuffle_*"))) for f in folders)
+    stage = corpus_pipeline.small_batches(lambda spark, docs, folder: docs)
+    stage(spark, spark.range(1), "")
+    time.sleep(3)
+    before = files()
+    table = spark.range(1000).repartition(5, "id")
+    assert len(table.collect()) == 1000 and files() > before
+    del table
+    for _ in range(20):
+        stage(spark, spark.range(1), "")
+        if files() <= before:
+            break
+        time.sleep(0.5)
+    assert files() <= before
