@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -10,6 +11,8 @@ from marlstone.llm.texts import ALNUM, hashes, mix, words
 
 #: Rows of the embedding tables for words and for word beginnings.
 WORD_ROWS, STEM_ROWS = 1 << 16, 1 << 14
+#: Words of a training step, which bounds its arrays; a longer text is a step of its own.
+STEP_WORDS = 1 << 20
 #: Bytes of the word beginnings.
 STEMS = (4, 5)
 DIM = 6
@@ -81,20 +84,64 @@ def lean(bad: np.ndarray, good: np.ndarray) -> np.ndarray:
     return np.clip((np.log((bad[0] + 0.5) / bad[1]) - np.log((good[0] + 0.5) / good[1])) * count / (count + 10), -3, 3)
 
 
-def starting_table(rows: np.ndarray, first: np.ndarray, toxic: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A table's first column at the start, and for each word what its lean differs by without its own text.
+def kind_counts(rows: tuple[np.ndarray, ...], first: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
+    """For each table, in how many toxic and in how many other texts each of its rows occurs (2 x rows)."""
+    owner, out = np.repeat(np.arange(len(first) - 1), np.diff(first)), []
+    for r, size in zip(rows, (WORD_ROWS, *[STEM_ROWS] * len(STEMS))):
+        pair = np.unique(owner * size + r)
+        mark = toxic[pair // size]
+        out.append(np.stack([np.bincount(pair % size, w, size) for w in (mark, 1 - mark)]))
+    return out
+
+
+def without_own(rows: tuple[np.ndarray, ...], first: np.ndarray, toxic: np.ndarray, counts: list[np.ndarray], totals) -> np.ndarray:
+    """For each word what its lean differs by without its own text.
 
     The fit sees each text with the lean that all other texts give its words, as a new text would.
     """
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    pair = np.unique(owner * size + rows)
-    text, row = pair // size, pair % size
-    bad, good = np.bincount(row, toxic[text], size), np.bincount(row, 1 - toxic[text], size)
-    totals = toxic.sum() + 1, (1 - toxic).sum() + 1
-    start = lean((bad, totals[0]), (good, totals[1]))
-    mark = toxic[owner]
-    without = lean((bad[rows] - mark, totals[0]), (good[rows] - 1 + mark, totals[1]))
-    return start, without - start[rows]
+    shift, mark = np.zeros(len(rows[0]), np.float32), np.repeat(toxic.astype(np.uint8), np.diff(first))
+    for r, (bad, good) in zip(rows, counts):
+        start = lean((bad, totals[0]), (good, totals[1]))
+        less = [lean((np.maximum(bad - k, 0), totals[0]), (np.maximum(good - 1 + k, 0), totals[1])) - start for k in (0, 1)]
+        shift += np.where(mark == 1, less[1][r], less[0][r])
+    return shift
+
+
+@dataclass
+class Fit:
+    """A classifier in training, with what its steps remember."""
+
+    model: Classifier
+    counts: list[np.ndarray]  # by table, as kind_counts gives them for all texts
+    totals: tuple[float, float]  # toxic and other texts, each plus 1
+    moments: list[tuple[np.ndarray, np.ndarray]]
+    pace: list[np.ndarray]  # by table
+    step: int = 0
+
+    def values(self) -> list[np.ndarray]:
+        return [*self.model.filters, *self.model.biases, self.model.out, self.model.out_bias]
+
+
+def begin(rng: np.random.Generator, counts: list[np.ndarray], totals: tuple[float, float], languages: int) -> Fit:
+    """A classifier before its first step; the first column of its tables is the lean of the words."""
+    tables = [rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for n in (WORD_ROWS, *[STEM_ROWS] * len(STEMS))]
+    for table, (bad, good) in zip(tables, counts):
+        table[:, 0] = lean((bad, totals[0]), (good, totals[1]))
+    model = Classifier(
+        tables, [rng.normal(0, 0.3, (FILTERS, w * DIM)).astype(np.float32) for w in WIDTHS],
+        [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
+        rng.normal(0, 0.2, (1 + languages, len(WIDTHS) * FILTERS)).astype(np.float32), np.zeros(1 + languages, np.float32), None,
+    )
+    for k, w in enumerate(WIDTHS):
+        model.filters[k][:FILTERS // 2, ::DIM] = np.abs(model.filters[k][:FILTERS // 2, ::DIM]) + 0.5 / w
+    fit = Fit(model, counts, totals, [], [np.full(len(t), 1e-2, np.float32) for t in tables])
+    fit.moments = [(np.zeros_like(v), np.zeros_like(v)) for v in fit.values()]
+    return fit
+
+
+def all_epochs(epochs: int, texts: int, batch: int = 64) -> int:
+    """Epochs of a fit: few texts are read more often."""
+    return max(epochs, 300 * batch // max(texts, 1))
 
 
 def train(
@@ -104,33 +151,36 @@ def train(
     """Fit on texts with marks; ``language`` -1 is unknown."""
     rng = np.random.default_rng(seed)
     rest = rng.permutation(len(toxic))
-    tables = [rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for n in (WORD_ROWS, *[STEM_ROWS] * len(STEMS))]
-    shift = np.zeros(len(rows[0]), np.float32)
-    for table, r in zip(tables, rows):
-        table[:, 0], off = starting_table(r, first, toxic.astype(float), len(table))
-        shift += off
+    totals = float(toxic.sum() + 1), float((1 - toxic).sum() + 1)
+    fit = begin(rng, kind_counts(rows, first, toxic.astype(float)), totals, languages)
+    advance(fit, rows, first, toxic, language, rest, rng, all_epochs(epochs, len(rest), batch), batch, rate)
+    return fit.model
+
+
+def advance(
+    fit: Fit, rows: tuple[np.ndarray, ...], first: np.ndarray, toxic: np.ndarray, language: np.ndarray, rest: np.ndarray,
+    rng: np.random.Generator, epochs: int, batch: int = 64, rate: float = 0.02,
+) -> None:
+    """Go on with a fit over texts for some epochs. A step reads ``batch`` texts, or fewer when these have many words."""
+    shift = without_own(rows, first, toxic, fit.counts, fit.totals)
+    model, values, moments, pace, languages = fit.model, fit.values(), fit.moments, fit.pace, len(fit.model.out) - 1
 
     def of(texts):
         index = np.concatenate([np.arange(first[t], first[t + 1]) for t in texts])
         at = np.concatenate([[0], np.cumsum(first[texts + 1] - first[texts])])
         return tuple(r[index] for r in rows), at, shift[index]
 
-    model = Classifier(
-        tables, [rng.normal(0, 0.3, (FILTERS, w * DIM)).astype(np.float32) for w in WIDTHS],
-        [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
-        rng.normal(0, 0.2, (1 + languages, len(WIDTHS) * FILTERS)).astype(np.float32), np.zeros(1 + languages, np.float32), None,
-    )
-    for k, w in enumerate(WIDTHS):
-        model.filters[k][:FILTERS // 2, ::DIM] = np.abs(model.filters[k][:FILTERS // 2, ::DIM]) + 0.5 / w
-    values = [*model.filters, *model.biases, model.out, model.out_bias]
-    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
-    pace = [np.full(len(t), 1e-2, np.float32) for t in tables]
-    step = 0
-    for _ in range(max(epochs, 300 * batch // max(len(rest), 1))):
-        rng.shuffle(rest)
+    def batches():
         for k in range(0, len(rest), batch):
-            step += 1
             texts = rest[k:k + batch]
+            part = np.cumsum(first[texts + 1] - first[texts]) // STEP_WORDS
+            yield from np.split(texts, np.flatnonzero(np.diff(part)) + 1)
+
+    for _ in range(epochs):
+        rng.shuffle(rest)
+        for texts in batches():
+            fit.step += 1
+            step = fit.step
             own, at, off = of(texts)
             best, where, vectors = features(model, own, at, off)
             logits = best @ model.out.T + model.out_bias
@@ -166,6 +216,27 @@ def train(
             for table, r, speed in zip(model.tables, own, pace):
                 np.add.at(speed, r[moved], (grads[moved] ** 2).sum(axis=1))
                 np.add.at(table, r[moved], -0.02 * grads[moved] / np.sqrt(speed[r[moved]])[:, None])
-    return model
 
 
+def moved(before: Fit, after: Fit, texts: int) -> list[np.ndarray]:
+    """What a shard's steps changed, as arrays that add up over shards: see :func:`joined`."""
+    out = [np.array([texts, texts * after.step], np.float64)]
+    for old, new, slow, fast in zip(before.model.tables, after.model.tables, before.pace, after.pace):
+        out += [new - old, fast - slow, (fast > slow).astype(np.float32)]
+    for value, (m, s) in zip(after.values(), after.moments):
+        out += [texts * value.astype(np.float64), texts * m.astype(np.float64), texts * s.astype(np.float64)]
+    return out
+
+
+def joined(before: Fit, total: list[np.ndarray]) -> Fit:
+    """The fit after a round: a table's row moves by the mean of the shards that moved it, all else is the mean by texts."""
+    texts, fit = total[0][0], copy.deepcopy(before)
+    fit.step, rest = int(round(total[0][1] / texts)), iter(total[1:])
+    for table, pace in zip(fit.model.tables, fit.pace):
+        change, faster, shards = next(rest), next(rest), np.maximum(next(rest), 1)
+        table += change / shards[:, None]
+        pace += faster / shards
+    for value, (m, s) in zip(fit.values(), fit.moments):
+        for array in (value, m, s):
+            array[...] = next(rest) / texts
+    return fit

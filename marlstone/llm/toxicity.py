@@ -2,75 +2,139 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import convolution as cnn
-from marlstone.llm.samples import bounded, remainder
+from marlstone.llm.samples import remainder
 from marlstone.llm.texts import carried, slices
+from marlstone.session import settle
 
-#: Labelled documents that the classifier is fitted on, and the characters of a stretch it reads of each longer one.
-SAMPLE_DOCS, SAMPLE_CHARS = 6144, 16_384
+#: Characters of labelled texts that one task trains on at a time. A longer table is dealt to shards of about that size.
+SHARD_CHARS = 8 << 20
 EPOCHS = 8
+#: Marked documents up to which they are broadcast; the texts of a table with more are joined by shuffle.
+SENT_MARKS = 2_000_000
+#: Held-back texts whose scores are taken as they are; more are counted by score in steps of 1 / ``CUT_STEPS``.
+CUT_ROWS, CUT_STEPS = 1 << 17, 4096
 #: Marked texts of a language, of each kind, that a threshold of its own needs.
 OWN_CUT = 12
+#: Tasks whose sums the driver adds up itself; those of more are added up in a tree of this many branches.
+FAN = 16
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> cnn.Classifier | None:
-    """Fit on at most ``bound`` labelled documents (doc_id, text, lang; doc_id, toxic), about half of them toxic.
+def fit(docs: DataFrame, labels: DataFrame) -> cnn.Classifier | None:
+    """Fit on all labelled documents (doc_id, text, lang; doc_id, toxic).
 
     Rows with a null mark or an empty text take no part; of a document with several marks the highest holds, and
-    a document that stands twice counts twice. The network reads a text of over ``SAMPLE_CHARS`` characters by one
-    stretch of that many, placed by a hash of the id. One fifth of the sample, by another hash, is kept from the
-    fit and scored whole, in tasks, to place the thresholds: per language the cut that gets most marks right
-    (middle of the best range), or the common cut where a language has few marks. ``lang`` is only learnt as a
-    second target, so that the network itself tells the language of a text it scores.
+    a document that stands twice counts twice. Texts are read whole. One fifth of them, by a hash of the id, is
+    kept from the fit and scored whole, in tasks, to place the thresholds: per language the cut that gets most
+    marks right (middle of the best range), or the common cut where a language has few marks. ``lang`` is only
+    learnt as a second target, so that the network itself tells the language of a text it scores.
     """
     marks = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = bounded(marks, "toxic", "doc_id", bound)
-    marked = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").where("length(text) > 0")
+    if marks.count() <= SENT_MARKS:
+        marks = F.broadcast(marks)
+    marked = docs.select("doc_id", "text", "lang").join(marks, "doc_id").where("length(text) > 0")
+    marked = marked.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     aside = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(5)) == 0
-    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
-    place = (1 + F.pmod(F.xxhash64("doc_id", F.lit(29)), spare + 1)).cast("int")
-    sample = marked.where(~aside).withColumn("text", F.substring("text", place, F.lit(SAMPLE_CHARS)))
-    sample = sample.toPandas().sort_values(["doc_id", "text"], ignore_index=True)
-    toxic = (sample["toxic"].to_numpy(np.int64) > 0).astype(np.int64)
-    if toxic.sum() in (0, len(toxic)):
+    size = marked.where(~aside).agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("bad"), F.sum(F.length("text")).alias("chars"), F.sort_array(F.collect_set("lang")).alias("names")
+    ).first()
+    if (size["bad"] or 0) in (0, size["n"]):
         return None
-    names = sorted(sample["lang"].dropna().unique())
-    language = np.array([names.index(x) if isinstance(x, str) else -1 for x in sample["lang"]], np.int64)
-    found = [cnn.word_rows(data, at) for _, _, data, at in slices(pa.array(sample["text"], pa.large_string()))]
-    rows = tuple(np.concatenate(r) for r in zip(*[r for r, _ in found]))
-    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in found]))])
-    model = cnn.train(rows, first, toxic, language, len(names), EPOCHS)
+    names, shards = size["names"], 1 + size["chars"] // SHARD_CHARS
+    dealt = marked.where(~aside).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(shards)).cast("int"))
+    model = _trained(settle(dealt.groupBy("shard").applyInPandas(_packed(names), PACKED)), shards, size["n"], size["bad"], len(names))
     model.cuts = np.zeros(max(len(names), 1))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     whole = marked.where(aside).select(F.struct("text", "toxic").alias("row"))
-    shape = "row struct<text:string,toxic:bigint>, score double, told int"
-    whole = whole.withColumn("row", F.col("row").cast("struct<text:string,toxic:bigint>"))
-    test = whole.mapInArrow(_margins(sent, "text"), shape).select("row.toxic", "score", "told").toPandas()
-    if len(test) > 1:
-        bad, margin, told = (test["toxic"].to_numpy() > 0).astype(np.int64), test["score"].to_numpy(), test["told"].to_numpy()
-        common = best_cut(margin, bad)
+    test = whole.mapInArrow(_margins(sent, "text"), "row struct<text:string,toxic:int>, score double, told int")
+    test = settle(test.select(F.col("row.toxic").alias("bad"), (1 - F.col("row.toxic")).alias("good"), "score", "told"))
+    if test.count() > CUT_ROWS:
+        near = (F.round(F.col("score") * CUT_STEPS) / CUT_STEPS).alias("score")
+        test = test.groupBy("told", near).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    test = test.toPandas()
+    if test[["bad", "good"]].to_numpy().sum() > 1:
+        bad, good, margin, told = (test[c].to_numpy() for c in ("bad", "good", "score", "told"))
+        common = best_cut(margin, bad, good)
         for k in range(len(model.cuts)):
             mine = told == k
-            seen = int(bad[mine].sum())
-            enough = min(seen, int(mine.sum()) - seen) >= OWN_CUT
-            model.cuts[k] = best_cut(margin[mine], bad[mine]) if enough else common
+            enough = min(bad[mine].sum(), good[mine].sum()) >= OWN_CUT
+            model.cuts[k] = best_cut(margin[mine], bad[mine], good[mine]) if enough else common
     return model
 
 
-def best_cut(score: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the fewest errors, each kind weighed by its rarity; the middle of the best range."""
+PACKED = "shard int, first binary, words binary, starts array<binary>, toxic binary, language binary"
+
+
+def _packed(names: list[str]):
+    """A shard's texts as one row: the places of their words in the network's tables, two bytes each, and their marks."""
+    number = {name: k for k, name in enumerate(names)}
+
+    def run(shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.sort_values(["doc_id", "text"], ignore_index=True)
+        found = [([r.astype(np.uint16) for r in rows], at) for rows, at in (
+            cnn.word_rows(data, at) for _, _, data, at in slices(pa.array(shard["text"], pa.large_string())))]
+        rows = [np.concatenate(r).tobytes() for r in zip(*[r for r, _ in found])]
+        first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in found]))])
+        language = shard["lang"].map(number).fillna(-1).to_numpy(np.int64)
+        return pd.DataFrame({
+            "shard": shard["shard"][:1], "first": [first.astype(np.int64).tobytes()], "words": [rows[0]], "starts": [rows[1:]],
+            "toxic": [shard["toxic"].to_numpy(np.int64).tobytes()], "language": [language.tobytes()]})
+
+    return run
+
+
+def _unpacked(row) -> tuple:
+    """Rows, first, toxic and language of a packed shard, as the network's fit takes them."""
+    first, toxic, language = (np.frombuffer(row[c], np.int64) for c in ("first", "toxic", "language"))
+    return tuple(np.frombuffer(r, np.uint16) for r in (row["words"], *row["starts"])), first, toxic, language
+
+
+def _trained(packed: DataFrame, shards: int, texts: int, toxic: int, languages: int) -> cnn.Classifier:
+    """One shard is trained in one task. Several are trained side by side from the same model, and the next round
+    starts at the mean of what they learnt. Leans of words are counted over all shards first."""
+    if shards == 1:
+        return packed.rdd.map(lambda row: cnn.train(*_unpacked(row), languages, EPOCHS)).first()
+    context = packed.sparkSession.sparkContext
+    # As many tasks as run at once, each over several shards: sums of tasks then do not grow with the table.
+    dealt = packed.rdd.coalesce(context.defaultParallelism)
+    depth = max(1, int(np.ceil(np.log(dealt.getNumPartitions()) / np.log(FAN))))
+    added = lambda a, b: [x + y for x, y in zip(a, b)]
+    counts = dealt.map(lambda row: cnn.kind_counts(*_unpacked(row)[:3])).treeReduce(added, depth)
+    now = cnn.begin(np.random.default_rng(3), counts, (float(toxic + 1), float(texts - toxic + 1)), languages)
+    epochs = cnn.all_epochs(EPOCHS, texts) // EPOCHS
+
+    def learnt(row, sent, k: int) -> list[np.ndarray]:
+        rng, own, data = np.random.default_rng([3, k, row["shard"]]), copy.deepcopy(sent.value), _unpacked(row)
+        cnn.advance(own, *data, rng.permutation(len(data[2])), rng, epochs)
+        return cnn.moved(sent.value, own, len(data[2]))
+
+    for k in range(EPOCHS):
+        sent = context.broadcast(now)
+        total = dealt.map(lambda row, sent=sent, k=k: learnt(row, sent, k)).treeReduce(added, depth)
+        now = cnn.joined(now, total)
+        sent.unpersist()
+    return now.model
+
+
+def best_cut(score: np.ndarray, toxic: np.ndarray, other: np.ndarray | None = None) -> float:
+    """The cut with the fewest errors, each kind weighed by its rarity; the middle of the best range.
+
+    ``toxic`` and ``other`` count the texts of a score; without ``other`` a score is one text.
+    """
     order = np.argsort(score, kind="stable")
-    score, toxic = score[order], toxic[order]
-    bad, good = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
+    score, toxic, other = score[order], toxic[order], (1 - toxic if other is None else other)[order]
+    bad, good = max(toxic.sum(), 1), max(other.sum(), 1)
     missed = np.concatenate([[0], np.cumsum(toxic)]) / bad
-    wrong = np.concatenate([[0], np.cumsum(1 - toxic)])
+    wrong = np.concatenate([[0], np.cumsum(other)])
     errors = missed + (wrong[-1] - wrong) / good
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
     edges = np.concatenate([[score[0] - 1], score, [score[-1] + 1]])

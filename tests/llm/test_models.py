@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import random
 from collections import Counter, defaultdict
 
@@ -158,6 +159,49 @@ def test_best_cut():
     assert 1 < toxicity.best_cut(np.array([3.0, 0.5, 1.0, 2.0]), np.array([1, 0, 0, 1])) < 2
 
 
+def test_toxicity_is_fitted_on_every_marked_row_by_shards(spark, monkeypatch):
+    """More rows than the former sample held, dealt to shards: all are counted, and all shards are trained on."""
+    words = "red green blue grey pink gold".split()
+    data = [(i, f"{words[i % 6]} {words[i % 5]} {'vile' if i % 4 == 0 else 'kind'} {words[i % 3]}", "en", int(i % 4 == 0)) for i in range(7000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, toxic int").repartition(3)
+    seen, begin = [], convolution.begin
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 40_000)
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity.cnn, "begin", lambda rng, counts, totals, languages: seen.append((counts, totals)) or begin(rng, counts, totals, languages))
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    (counts, totals), = seen
+    kept = docs.where("pmod(xxhash64(doc_id, 23), 5) <> 0")
+    bad, good = kept.where("toxic = 1").count(), kept.where("toxic = 0").count()
+    assert totals == (bad + 1, good + 1) and bad + good > 5000
+    (vile, _, _), _ = _words(["vile kind"])
+    assert counts[0][:, vile].T.tolist() == [[bad, 0], [0, good]]
+    assert {(r["row"]["toxic"], r["predicted"]) for r in toxicity.score(docs, model).collect()} == {(0, 0), (1, 1)}
+
+
+def test_shards_are_joined_by_the_mean_of_those_that_moved():
+    rows_, first, marks = _marked([("a bad b", 1), ("a b", 0)] * 8)
+    counts = convolution.kind_counts(rows_, first, marks.astype(float))
+    before = convolution.begin(np.random.default_rng(1), counts, (9.0, 9.0), 0)
+    after = []
+    for k in range(2):
+        one = copy.deepcopy(before)
+        convolution.advance(one, rows_, first, marks, np.full(16, -1), np.arange(16), np.random.default_rng(k), 3)
+        after.append(one)
+    total = [x + y for x, y in zip(*[convolution.moved(before, one, 16) for one in after])]
+    got = convolution.joined(before, total)
+    for mean, one, two in zip(got.values(), after[0].values(), after[1].values()):
+        assert np.allclose(mean, (one + two) / 2, atol=1e-6)
+    change = [one.model.tables[0] - before.model.tables[0] for one in after]
+    moved = np.maximum(sum((one.pace[0] > before.pace[0]).astype(int) for one in after), 1)
+    assert np.allclose(got.model.tables[0] - before.model.tables[0], sum(change) / moved[:, None], atol=1e-6) and got.step == after[0].step
+
+
+def test_cut_of_counted_scores():
+    score, bad = np.array([0.5, 0.5, 1.0, 2.0, 3.0, 3.0]), np.array([0, 0, 0, 1, 1, 1])
+    counted = toxicity.best_cut(np.array([0.5, 1.0, 2.0, 3.0]), np.array([0, 0, 1, 2]), np.array([2, 1, 0, 0]))
+    assert counted == toxicity.best_cut(score, bad) == 1.5
+
+
 def test_convolution_pools_whole_texts():
     model = convolution.train(*_marked([("a b", 0), ("a bad b", 1)] * 60), np.full(120, -1), 0, 6)
     model.cuts = np.zeros(1)
