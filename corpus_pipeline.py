@@ -7,26 +7,19 @@ last one returns what it read back from its files.
 from __future__ import annotations
 
 import functools
-import gc
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import fm_index, language, mixing, ngram_join, token_files
 from marlstone.llm.samples import remainder
+from marlstone.session import release_shuffles
 
 
 #: Rows that travel to a Python task at once: texts are long, and executors run several tasks.
 BATCH_ROWS = 1000
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Give back the shuffle files of stages that have ended. Spark deletes them when no table refers to them any
-    more, which it notices at a collection of garbage only, by default every half hour."""
-    gc.collect()  # Python's handles of tables
-    spark._jvm.System.gc()
-
-
 def small_batches(stage):
     """The stage with bounded Arrow batches, whatever the session's default."""
 

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from marlstone.llm.links import components, cut
 from marlstone.llm.texts import carried, mix, shingle_sets, slices
+from marlstone.session import release_shuffles
 
 #: Rows of a matrix block, and columns multiplied at once.
 BLOCK_ROWS = 256
@@ -66,8 +67,10 @@ def drop_linked(
     apart. Only rows that may be linked are joined with the components, so few texts are shuffled.
     Rows without shingles stay. Columns and other values are as before.
     """
-    _, own = _linked(docs, key, text, size, similarity)
+    every, own = _linked(docs, key, text, size, similarity)
     own = cut(own.where("n_links > 0").select("node", "component_id", "keeper"))
+    del every
+    release_shuffles(docs.sparkSession)  # the join's; the texts are shuffled after it
     bits = docs.sparkSession.sparkContext.broadcast(_member_bits(own))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     whole = whole.mapInArrow(

@@ -138,3 +138,14 @@ def test_shuffle_files_of_an_ended_stage_are_given_back(spark):
             break
         time.sleep(0.5)
     assert files() <= before
+
+
+def test_join_gives_back_its_shuffles_before_texts_are_dealt(spark, monkeypatch):
+    from marlstone.llm import ngram_join
+
+    seen, told = [], ngram_join._told
+    monkeypatch.setattr(ngram_join, "release_shuffles", lambda s: seen.append("released"), raising=False)
+    monkeypatch.setattr(ngram_join, "_told", lambda *a: seen.append("told") or told(*a))
+    docs = spark.createDataFrame([(i, f"one two three four five six {i % 3}") for i in range(6)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in ngram_join.drop_linked(docs).collect()) == [0, 1, 2]
+    assert seen == ["released", "told"]
