@@ -157,7 +157,7 @@ def _prepared(s, d):
 
     b = _bundle(s, d, "engineered_full_lr")
     v = b.part("train").select(F.explode(F.arrays_zip(F.array(*[F.lit(n) for n in b.names]).alias("n"), vector_to_array("features").alias("v"))).alias("x"))
-    return v.groupBy(F.col("x.n").alias("feature")).agg(F.round(F.abs(F.avg("x.v")), 6).alias("mean")).filter("feature NOT LIKE '%=%'")
+    return v.groupBy(F.col("x.n").alias("feature")).agg(F.round(F.abs(F.avg("x.v")), 6).alias("mean"))
 
 
 def _centroids(s, d):
